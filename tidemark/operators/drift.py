@@ -25,10 +25,8 @@ import re
 import zlib
 from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.jsonlines import json_object
@@ -297,7 +295,7 @@ def same_information(old: dict, new: dict) -> float:
         return names + 0.2 * (1 - gap) if names >= 0.5 else 0.0
     if old["json_type"] == "boolean":
         return names if names >= 0.5 else 0.0
-    x, y = (set(() if f["sketch"] is None else f["sketch"]) for f in (old, new))
+    x, y = (set(f["sketch"] or ()) for f in (old, new))
     union = sorted(x | y)[:SKETCH]
     values = sum(v in x and v in y for v in union) / len(union) if union else 0.0
     if old["json_type"] in ("object", "array"):
@@ -305,25 +303,21 @@ def same_information(old: dict, new: dict) -> float:
     return names + values if values >= 0.2 or names >= 0.5 else 0.0
 
 
-def _paired(events: pd.DataFrame) -> pd.DataFrame:
+def paired(events: list[dict]) -> list[tuple[str, str, str]]:
     """The changes of one feed, place and file: removals and additions paired off by falling score."""
-    out = []
-    removed = events[events.what == "removed"].to_dict("records")
-    added = events[events.what == "added"].to_dict("records")
-    pairs = sorted(((-same_information(r, a), r["field"], a["field"]) for r in removed for a in added))
-    gone, come = set(), set()
-    for score, r, a in pairs:
+    removed = [e for e in events if e["what"] == "removed"]
+    added = [e for e in events if e["what"] == "added"]
+    scored = sorted((-same_information(r, a), r["field"], a["field"]) for r in removed for a in added)
+    out, gone, come = [], set(), set()
+    for score, r, a in scored:
         if score < 0 and r not in gone and a not in come:
             gone.add(r)
             come.add(a)
             out.append(("renamed", r, a))
+    out += [("type_changed", e["field"], e["field"]) for e in events if e["what"] == "type_changed"]
     out += [("removed", r["field"], "") for r in removed if r["field"] not in gone]
     out += [("added", "", a["field"]) for a in added if a["field"] not in come]
-    file = events.source_file.iloc[0]
-    return pd.DataFrame(
-        [(events.scope_slug.iloc[0], events.report_type.iloc[0], file, *row) for row in out],
-        columns=["scope_slug", "report_type", "source_file", "change_kind", "old_field", "new_field"],
-    )
+    return out
 
 
 CHANGE_SCHEMA = "scope_slug string, report_type string, source_file string, change_kind string, old_field string, new_field string"
@@ -335,40 +329,30 @@ def schema_changes(spans: DataFrame) -> DataFrame:
     Only files with both removals and additions at one place go through the
     pairing; a file's place has at most as many of them as it has fields.
     """
-    evidence = ["json_type", "n", "log_sum", "integers", "sketch"]
-    began = spans.where("NOT continues AND first.seq > 1").select(
-        *FEED, "place", "field", F.lit("added").alias("what"), "first.source_file", *[f"first.{c}" for c in evidence]
-    )
-    ended = spans.where("NOT followed AND last.next_file IS NOT NULL").select(
-        *FEED, "place", "field", F.lit("removed").alias("what"), F.col("last.next_file").alias("source_file"), *[f"last.{c}" for c in evidence]
-    )
-    events = began.unionByName(ended)
-    paired = events.repartition(*FEED, "place", "source_file").mapInArrow(_pair_partition, CHANGE_SCHEMA)
-    typed = spans.where("continues AND earlier_type IS NOT NULL AND first.json_type IS NOT NULL AND earlier_type <> first.json_type").select(
-        *FEED, "first.source_file", F.lit("type_changed").alias("change_kind"), F.col("field").alias("old_field"), F.col("field").alias("new_field")
+    def event(what: str, when: Column, at: str, file: str) -> Column:
+        evidence = [F.col(f"{at}.{c}").alias(c) for c in ("json_type", "n", "log_sum", "integers", "sketch")]
+        return F.when(when, F.struct(F.lit(what).alias("what"), F.col(f"{at}.{file}").alias("source_file"), *evidence))
+
+    retyped = F.col("continues") & (F.col("earlier_type") != F.col("first.json_type"))
+    found = F.array(
+        event("added", ~F.col("continues") & (F.col("first.seq") > 1), "first", "source_file"),
+        event("removed", ~F.col("followed") & F.col("last.next_file").isNotNull(), "last", "next_file"),
+        event("type_changed", F.coalesce(retyped, F.lit(False)), "first", "source_file"),
     )
-    return paired.unionByName(typed)
+    events = spans.select(*FEED, "place", "field", F.inline(F.array_compact(found)))
+    return events.repartition(*FEED, "place", "source_file").mapInArrow(_pair_partition, CHANGE_SCHEMA)
 
 
 def _pair_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs off all groups of a partition; events are a few per file, so a partition of them is small."""
-    tables = [b.to_pandas() for b in batches]
-    if not tables:
-        return
-    frame = pd.concat(tables, ignore_index=True)
-    keys = ["scope_slug", "report_type", "place", "source_file"]
-    both = frame.groupby(keys, dropna=False).what.transform("nunique") > 1
-    plain = frame[~both]
-    field = plain.field.to_numpy()
-    is_new = (plain.what == "added").to_numpy()
-    done = pd.DataFrame(
-        {
-            "scope_slug": plain.scope_slug.to_numpy(), "report_type": plain.report_type.to_numpy(), "source_file": plain.source_file.to_numpy(),
-            "change_kind": plain.what.to_numpy(), "old_field": np.where(is_new, "", field), "new_field": np.where(is_new, field, ""),
-        }
-    )
-    parts = [done, *[_paired(g) for _, g in frame[both].groupby(keys, dropna=False)]]
-    yield pa.RecordBatch.from_pandas(pd.concat(parts, ignore_index=True).astype(object), schema=pa.schema([(c.split()[0], pa.string()) for c in CHANGE_SCHEMA.split(", ")]), preserve_index=False)
+    groups: dict[tuple, list[dict]] = {}
+    for batch in batches:
+        for event in batch.to_pylist():
+            groups.setdefault((event["scope_slug"], event["report_type"], event["source_file"], event["place"]), []).append(event)
+    rows = [(*key[:3], *change) for key, events in groups.items() for change in paired(events)]
+    if rows:
+        names = [c.split()[0] for c in CHANGE_SCHEMA.split(", ")]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows)], names=names)
 
 
 def alias_table(changes: DataFrame) -> DataFrame:
