@@ -23,7 +23,7 @@ from tidemark.operators.latest import latest_deliveries
 from tidemark.session import buckets_for, lookup
 
 #: Rows of all snapshots together that one bucket should hold.
-ROWS_PER_BUCKET = 250_000
+ROWS_PER_BUCKET = 100_000
 EVENT_SCHEMA = "report_type string, scope_slug string, snapshot_seq int, record_id bigint, change_kind string"
 
 
