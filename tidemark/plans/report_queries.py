@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import drift, hashruns, history, profile, rolling, shred, snapdiff
-from tidemark.session import table
+from tidemark.session import materialized, table
 
 USERS, TEAMS, REPOS, LINES = "copilot_users_1_day", "copilot_user_teams_1_day", "copilot_repos_1_day", "silver_users_edge_cases"
 
@@ -28,7 +28,8 @@ def _states(spark: SparkSession, sf_dir: str, distinct: bool = False) -> DataFra
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.judged(_states(spark, sf_dir)).where("broken").select("table_name", "column_name", "source_ingestion_id")
+    states = materialized(_states(spark, sf_dir))  # a few rows per delivery and column, read several times
+    return profile.judged(states).where("broken").select("table_name", "column_name", "source_ingestion_id")
 
 
 def p1_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
