@@ -60,3 +60,53 @@ def winning_values(rows: DataFrame, keys: list[str], value: Column, name: str, l
     return ranked.groupBy(*keys).agg(
         F.max(F.struct(F.coalesce("_line", F.lit(-(2**63))).alias("l"), F.col("_value").alias("v"))).alias("_win")
     ).select(*keys, F.col("_win.v").alias(name))
+
+
+def winning_rows(df: DataFrame, keys: list[str], rank: list[str] | None = None) -> DataFrame:
+    """Whole rows that win among those with equal ``keys``: the greatest by ``rank`` (default ``source_line``), nulls last."""
+    order = [F.col(c).desc_nulls_last() for c in (rank or ["source_line"])]
+    ties = F.xxhash64(*[c for c in df.columns if df.schema[c].dataType.typeName() != "map"])
+    newest = Window.partitionBy(*keys).orderBy(*order, ties)
+    return df.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
+
+
+def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys that occur more than once, with ``copies``; null keys compare equal."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+
+
+def correction_counts(tables: dict[str, tuple[DataFrame, list[str]]], by: list[str]) -> DataFrame:
+    """Surplus rows per ``by`` over all tables: for every key of a table its copies less one."""
+    parts = [df.groupBy(*keys).agg((F.count(F.lit(1)) - 1).alias("surplus")).select(*by, "surplus") for df, keys in tables.values()]
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionByName(p)
+    return every.groupBy(*by).agg(F.sum("surplus").alias("source_correction_count"))
+
+
+def latest_manifests(manifests: DataFrame) -> DataFrame:
+    """Of each scope, report type and day the newest manifest with a final status (ties: the greatest id)."""
+    final = manifests.where(F.col("status").isin("success", "no_data"))
+    keys = ["scope_kind", "scope_slug", "report_type", "report_day"]
+    if "scope_kind" not in manifests.columns:
+        keys = keys[1:]
+    return winning_rows(final, keys, ["ingested_at", "ingestion_id"])
+
+
+def manifest_filter(rows: DataFrame, manifests: DataFrame, report_type: str) -> DataFrame:
+    """Rows of deliveries that are the newest of their scope and day, and rows of scope-days without a manifest.
+
+    A newest manifest with status no_data removes every row of its scope and day.
+    """
+    newest = latest_manifests(manifests.where(F.col("report_type") == report_type)).select(
+        "scope_slug", F.col("report_day").alias("day"), F.col("ingestion_id").alias("_id"), F.col("status").alias("_status")
+    )
+    joined = rows.join(lookup(newest), ["scope_slug", "day"], "left")
+    keep = F.col("_status").isNull() | ((F.col("_status") == "success") & (F.col("_id") == F.col("source_ingestion_id")))
+    return joined.where(keep).drop("_id", "_status")
+
+
+def content_duplicates(manifests: DataFrame) -> DataFrame:
+    """Manifests whose status and content an earlier one of the same scope, type and day already has."""
+    same = Window.partitionBy("scope_slug", "report_type", "report_day", "status", "content_fingerprint").orderBy("ingested_at", "ingestion_id")
+    return manifests.withColumn("original_id", F.first("ingestion_id").over(same)).where("original_id <> ingestion_id")
