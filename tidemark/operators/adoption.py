@@ -278,4 +278,4 @@ def with_corrections(gold: DataFrame, corrections: DataFrame, built_at: str) ->
 def last_known(df: DataFrame, keys: list[str], day: str = "day") -> DataFrame:
     """The row of the last day of each of ``keys``."""
     order = Window.partitionBy(*keys).orderBy(F.col(day).desc())
-    return df.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank")
+    return df.withColumn("__rank", F.row_number().over(order)).where("__rank = 1").drop("__rank")

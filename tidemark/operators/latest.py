@@ -36,8 +36,8 @@ def latest_deliveries(df: DataFrame, keys: tuple[str, ...] = SCOPE_DAY) -> DataF
     newest = Window.partitionBy(*keys).orderBy(F.col("_at").desc_nulls_last(), F.col("source_ingestion_id").desc())
     order = Window.partitionBy(*keys[:-1]).orderBy(keys[-1])
     return (
-        per_delivery.withColumn("_rank", F.row_number().over(newest))
-        .where("_rank = 1")
+        per_delivery.withColumn("__rank", F.row_number().over(newest))
+        .where("__rank = 1")
         .select(*keys, "source_ingestion_id", F.row_number().over(order).alias("snapshot_seq"))
     )
 
@@ -67,7 +67,7 @@ def winning_rows(df: DataFrame, keys: list[str], rank: list[str] | None = None)
     order = [F.col(c).desc_nulls_last() for c in (rank or ["source_line"])]
     ties = F.xxhash64(*[c for c in df.columns if df.schema[c].dataType.typeName() != "map"])
     newest = Window.partitionBy(*keys).orderBy(*order, ties)
-    return df.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
+    return df.withColumn("__rank", F.row_number().over(newest)).where("__rank = 1").drop("__rank")
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -99,11 +99,11 @@ def manifest_filter(rows: DataFrame, manifests: DataFrame, report_type: str) ->
     A newest manifest with status no_data removes every row of its scope and day.
     """
     newest = latest_manifests(manifests.where(F.col("report_type") == report_type)).select(
-        "scope_slug", F.col("report_day").alias("day"), F.col("ingestion_id").alias("_id"), F.col("status").alias("_status")
+        "scope_slug", F.col("report_day").alias("day"), F.col("ingestion_id").alias("__id"), F.col("status").alias("__status")
     )
     joined = rows.join(lookup(newest), ["scope_slug", "day"], "left")
-    keep = F.col("_status").isNull() | ((F.col("_status") == "success") & (F.col("_id") == F.col("source_ingestion_id")))
-    return joined.where(keep).drop("_id", "_status")
+    keep = F.col("__status").isNull() | ((F.col("__status") == "success") & (F.col("__id") == F.col("source_ingestion_id")))
+    return joined.where(keep).drop("__id", "__status")
 
 
 def content_duplicates(manifests: DataFrame) -> DataFrame:

@@ -177,7 +177,7 @@ def _shredded(batch: pa.RecordBatch, lone: frozenset[str], scalars: bool) -> tup
 
 
 def shredded_columns(lines: DataFrame, record_id: str, raw: str, lone_as_array: frozenset[str] = ARRAY_FIELDS) -> DataFrame:
-    """The kind columns themselves: one row per record and repeated path with its level sequences.
+    """The kind columns themselves: one row per record and repeated path it has entries of, with its level sequences.
 
     Columns: record_id, path (``a[].b[]``), depth, repetition, definition, kinds (arrays of tinyint).
     """
@@ -188,10 +188,11 @@ def shredded_columns(lines: DataFrame, record_id: str, raw: str, lone_as_array:
             for path, (rep, definition, kinds, _) in shredder.columns().items():
                 cut = np.append(np.flatnonzero(rep == 0), len(rep)).astype(np.int32)
                 lists = [pa.ListArray.from_arrays(pa.array(cut), pa.array(x)) for x in (rep, definition, kinds)]
-                yield pa.RecordBatch.from_arrays(
+                whole = pa.RecordBatch.from_arrays(
                     [pa.array(ids, pa.int64()), pa.array([path_name(path)] * len(ids)), pa.array(np.full(len(ids), len(path), np.int32)), *lists],
                     names=["record_id", "path", "depth", "repetition", "definition", "kinds"],
                 )
+                yield whole.filter(pa.array(np.logical_or.reduceat(kinds != 0, cut[:-1])))
 
     schema = "record_id bigint, path string, depth int, repetition array<tinyint>, definition array<tinyint>, kinds array<tinyint>"
     return lines.select(F.col(record_id).cast("bigint"), raw).mapInArrow(run, schema)

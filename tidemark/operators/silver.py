@@ -40,7 +40,7 @@ def parsed(lines: DataFrame, raw: str = "raw_json") -> DataFrame:
     """
     inside = f"try_parse_json(concat('[', `{raw}`, ']'))"
     alone = F.expr(f"try_parse_json(concat('{{\"v\":', `{raw}`, '}}'))").isNotNull() & F.expr("variant_get(_w, '$[1]', 'variant')").isNull()
-    known = once(lines.where(F.col(raw).isNotNull() & ~F.col(raw).rlike(BLANK)), "_w", F.expr(inside))
+    known = once(lines.drop("_w", "v", "line_error", "reasons").where(F.col(raw).isNotNull() & ~F.col(raw).rlike(BLANK)), "_w", F.expr(inside))
     known = once(known, "v", F.when(alone, F.expr("variant_get(_w, '$[0]', 'variant')"))).drop("_w")
     error = F.when(F.col("v").isNull(), "invalid_json").when(~F.expr("schema_of_variant(v) LIKE 'OBJECT%'"), "record_must_be_object")
     return known.withColumn("line_error", error)

@@ -132,7 +132,7 @@ def _diff_bucket(t: pa.Table) -> pa.Table:
 def keyed_snapshots(df: DataFrame, report_type: str, key: str, attributes: list[Column], calendar: DataFrame) -> DataFrame:
     """Rows of the snapshots in ``calendar`` as report type, scope, snapshot number, key, digest and line."""
     return (
-        df.join(calendar, ["scope_slug", "day", "source_ingestion_id"])
+        df.drop("snapshot_seq", "last_seq").join(calendar, ["scope_slug", "day", "source_ingestion_id"])
         .where(F.col(key).isNotNull())
         .select(
             F.lit(report_type).alias("report_type"),

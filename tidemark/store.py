@@ -63,7 +63,11 @@ class Table:
         pointer = self._path(f"{self.path}/_current")
         if not self._fs.exists(pointer):
             return None
-        return self.spark.read.text(f"{self.path}/_current").first()[0]
+        stream = self._fs.open(pointer)
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
 
     def exists(self) -> bool:
         return self.version() is not None
@@ -82,10 +86,11 @@ class Table:
         stream = self._fs.create(self._path(f"{self.path}/_next-{version}"), True)
         stream.write(bytearray(version.encode()))
         stream.close()
-        current = self._path(f"{self.path}/_current")
-        if self._fs.exists(current):
-            self._fs.delete(current, False)
-        self._fs.rename(self._path(f"{self.path}/_next-{version}"), current)
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        how = self.spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+        how[0] = hadoop.Options.Rename.OVERWRITE
+        files = hadoop.FileContext.getFileContext(self._fs.getUri(), self.spark._jsc.hadoopConfiguration())
+        files.rename(self._path(f"{self.path}/_next-{version}"), self._path(f"{self.path}/_current"), how)
         return version
 
     def _checked(self, source: DataFrame, keys: list[str]) -> None:
