@@ -183,18 +183,32 @@ def user_current(users: DataFrame, lag_days: int = LAG_DAYS) -> DataFrame:
 def _rolling(active: DataFrame, emitted: DataFrame, keys: list[str], windows: tuple[int, ...]) -> DataFrame:
     """Distinct users of the trailing ``windows`` for each emitted key and day.
 
-    Every active user-day is spread forward over the days it counts for; of each
-    user, key and end day only the least distance stays, so users are counted
-    without a distinct aggregate and no set of users is ever held.
+    An active day makes its user count for the next ``w`` days, or until the
+    user's next active day, which takes over. These spans do not overlap, so a
+    user enters the count with +1 at the start of a span and leaves with -1 at its
+    end, and a running sum over days is the number of distinct users: no set of
+    users is held, nothing is counted twice, and the work does not grow with the
+    window. Repeated rows give spans of length 0, which cancel.
     """
-    longest = max(windows)
-    spread = active.select(*keys, "day", "user_id").distinct().select(
-        *keys, "user_id", F.explode(F.sequence(F.lit(0), F.lit(longest - 1))).alias("distance"), F.col("day").alias("_day")
-    ).select(*keys, "user_id", "distance", F.date_add("_day", F.col("distance")).alias("day"))
-    nearest = spread.groupBy(*keys, "day", "user_id").agg(F.min("distance").alias("distance"))
-    counts = nearest.groupBy(*keys, "day").agg(*[F.count(F.when(F.col("distance") < w, 1)).alias(f"w{w}") for w in windows])
-    each = F.inline(F.array(*[F.struct(F.lit(w).cast("bigint").alias("window_days"), F.coalesce(f"w{w}", F.lit(0)).alias("distinct_active_users")) for w in windows]))
-    return emitted.join(counts, [*keys, "day"], "left").select(*emitted.columns, each)
+    following = F.lead("day").over(Window.partitionBy(*keys, "user_id").orderBy("day"))
+    spans = active.select(*keys, "user_id", "day").withColumn("_next", following)
+
+    def event(at, step: int, w: int):
+        return F.struct(at.alias("day"), *[F.lit(step if v == w else 0).alias(f"w{v}") for v in windows])
+
+    events = []
+    for w in windows:
+        left = F.date_add("day", w)
+        events += [event(F.col("day"), 1, w), event(F.least(left, F.coalesce("_next", left)), -1, w)]
+    steps = spans.select(*keys, F.inline(F.array(*events))).groupBy(*keys, "day").agg(*[F.sum(f"w{w}").alias(f"w{w}") for w in windows])
+    asked = emitted.select(*keys, "day", *[F.lit(0).cast("bigint").alias(f"w{w}") for w in windows], F.lit(True).alias("_asked"))
+    every = steps.withColumn("_asked", F.lit(False)).unionByName(asked).groupBy(*keys, "day").agg(
+        *[F.sum(f"w{w}").alias(f"w{w}") for w in windows], F.max("_asked").alias("_asked")
+    )
+    running = Window.partitionBy(*keys).orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
+    counts = every.select(*keys, "day", "_asked", *[F.sum(f"w{w}").over(running).alias(f"w{w}") for w in windows]).where("_asked")
+    each = F.inline(F.array(*[F.struct(F.lit(w).cast("bigint").alias("window_days"), F.col(f"w{w}").alias("distinct_active_users")) for w in windows]))
+    return counts.select(*keys, "day", each)
 
 
 def rolling_entity(users: DataFrame, windows: tuple[int, ...] = WINDOWS) -> DataFrame:
@@ -214,11 +228,9 @@ def rolling_team(users: DataFrame, memberships: DataFrame, mapping: DataFrame |
     active = flagged(users).where("active AND user_id IS NOT NULL").select(*SCOPE_DAY, "user_id")
     joined = active.join(members.select(*SCOPE_DAY, "user_id", "team_id"), [*SCOPE_DAY, "user_id"])
     keys = [*SCOPE, "team_id"]
+    lives = joined.groupBy(*keys).agg(F.min("day").alias("_first"), F.date_add(F.max("day"), max(windows) - 1).alias("_last"))
     days = users.select(*SCOPE_DAY).distinct()
-    spread_days = joined.select(*keys, "day").distinct().select(*keys, F.explode(F.sequence(F.lit(0), F.lit(max(windows) - 1))).alias("k"), "day").select(
-        *keys, F.date_add("day", F.col("k")).alias("day")
-    ).distinct()
-    emitted = spread_days.join(days, SCOPE_DAY, "left_semi").select(*keys, "day")
+    emitted = lives.join(days, SCOPE).where("day BETWEEN _first AND _last").select(*keys, "day")
     out = _rolling(joined, emitted, keys, windows).where("distinct_active_users > 0")
     kind = "team" if mapping is None else "primary_team"
     return out.select(*SCOPE_DAY, F.lit(kind).alias("dimension_type"), F.col("team_id").cast("string").alias("dimension_id"), "window_days", "distinct_active_users")

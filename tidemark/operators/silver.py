@@ -92,16 +92,26 @@ def day_checks(report_day: str = "report_day", day: str = "day") -> list[Column]
     return [_unless(iso, "day_must_be_iso_date"), F.when(iso & (value != F.col(report_day)), F.lit("day_does_not_match_partition"))]
 
 
-def counter_checks() -> list[Column]:
-    out = []
-    for c in COUNTERS:
-        ok = number(c) if c == "ai_credits_used" else whole(c)
-        out.append(F.when(_given(c) & ~ok, F.lit(f"{c}_must_be_nonnegative_number")))
-    return out
+def _member_codes(members: str, whole_names: list[str], number_names: list[str], flag_names: list[str], prefix: str = "") -> Column:
+    """Codes of the members of an object that have a wrong type or sign, in one pass over the members that are there.
+
+    ``members`` is an SQL expression of the object's entries (key, VARIANT value);
+    a rule per possible field would look every field up in every record.
+    """
+    listed = lambda names: "array(" + ", ".join(f"'{n}'" for n in names) + ")" if names else "array('')"
+    t = "schema_of_variant(e.value)"
+    positive = lambda kind: f"coalesce(try_variant_get(e.value, '$', '{kind}') >= 0, false)"
+    wrong = f"""{t} <> 'VOID' AND CASE
+        WHEN array_contains({listed(whole_names)}, e.key) THEN NOT ({t} = 'BIGINT' AND {positive('bigint')})
+        WHEN array_contains({listed(number_names)}, e.key) THEN NOT (({t} IN ('BIGINT', 'DOUBLE') OR {t} LIKE 'DECIMAL%') AND {positive('double')})
+        WHEN array_contains({listed(flag_names)}, e.key) THEN {t} <> 'BOOLEAN' ELSE false END"""
+    code = f"concat('{prefix}', e.key, CASE WHEN array_contains({listed(flag_names)}, e.key) THEN '_must_be_boolean_or_null' ELSE '_must_be_nonnegative_number' END)"
+    return F.expr(f"transform(filter({members}, e -> {wrong}), e -> {code})")
 
 
-def flag_checks() -> list[Column]:
-    return [F.when(_given(c) & (kind(c) != "BOOLEAN"), F.lit(f"{c}_must_be_boolean_or_null")) for c in FLAGS]
+def usage_codes() -> Column:
+    """Codes of the counters and flags of a record."""
+    return _member_codes("map_entries(try_variant_get(v, '$', 'map<string,variant>'))", COUNTERS[1:], COUNTERS[:1], FLAGS)
 
 
 def acceptance_check() -> Column:
@@ -121,42 +131,46 @@ def phase_checks() -> list[Column]:
     ]
 
 
-def pull_request_checks() -> list[Column]:
+def pull_request_codes() -> Column:
+    """Codes of the pull-request object: its type, its members, and children above their total."""
     p = "pull_requests"
     is_object = F.coalesce(kind(p).startswith("OBJECT"), F.lit(False))
-    out = [F.when(_given(p) & ~is_object, F.lit(f"{p}_must_be_object"))]
-    for c in PULL_REQUESTS:
-        ok = number(f"{p}.{c}") if c.startswith("median_") else whole(f"{p}.{c}")
-        out.append(F.when(is_object & _given(f"{p}.{c}") & ~ok, F.lit(f"{p}.{c}_must_be_nonnegative_number")))
+    members = f"map_entries(try_variant_get(v, '$.{p}', 'map<string,variant>'))"
+    doubles = [c for c in PULL_REQUESTS if c.startswith("median_")]
+    typed = _member_codes(members, [c for c in PULL_REQUESTS if c not in doubles], doubles, [], f"{p}.")
+    above = []
     for child, total in CHILD_OF.items():
-        above = F.expr(f"try_variant_get(v, '$.{p}.{child}', 'bigint') > try_variant_get(v, '$.{p}.{total}', 'bigint')")
-        out.append(F.when(whole(f"{p}.{child}") & whole(f"{p}.{total}") & above, F.lit(f"{p}.{child}_exceeds_{total}")))
-    return out
+        more = F.expr(f"try_variant_get(v, '$.{p}.{child}', 'bigint') > try_variant_get(v, '$.{p}.{total}', 'bigint')")
+        above.append(F.when(whole(f"{p}.{child}") & whole(f"{p}.{total}") & more, F.lit(f"{p}.{child}_exceeds_{total}")))
+    other = F.when(_given(p), F.array(F.lit(f"{p}_must_be_object"))).otherwise(F.array().cast("array<string>"))
+    return F.when(is_object, F.concat(typed, F.array_compact(F.array(*above)))).otherwise(other)
+
+
+def _all_codes(*lists: Column) -> Column:
+    return F.array_sort(F.array_distinct(F.concat(*lists)))
 
 
 def user_reasons() -> Column:
     """All reason codes of a users line."""
-    return reasons(
+    other = reasons(
         *day_checks(),
-        *counter_checks(),
-        *flag_checks(),
         _unless(whole("user_id"), "user_id_must_be_nonnegative_integer"),
         _string_or_null("user_login", "user_login_must_be_string"),
         acceptance_check(),
         *phase_checks(),
-        *pull_request_checks(),
     )
+    return _all_codes(other, usage_codes(), pull_request_codes())
 
 
 def repository_reasons() -> Column:
     """All reason codes of a repositories line."""
-    return reasons(
+    other = reasons(
         *day_checks(),
         _unless(whole("repo_id"), "repo_id_must_be_nonnegative_integer"),
         *[_string_or_null(c, f"{c}_must_be_string") for c in ("repo_owner_name", "repo_name", "repo_visibility")],
         _unless(F.coalesce(kind("organization_id") == "STRING", F.lit(False)), "organization_id_is_required_for_repository"),
-        *pull_request_checks(),
     )
+    return _all_codes(other, pull_request_codes())
 
 
 REASONS = {"users": user_reasons, "repositories": repository_reasons}

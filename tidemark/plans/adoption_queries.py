@@ -13,7 +13,7 @@ from tidemark.contracts import ARRAYS, BREAKDOWN, CHILD_OF, COUNTERS, FLAGS, PUL
 from tidemark.functions.dates import iso_date
 from tidemark.operators import adoption, latest, silver
 from tidemark.plans.report_queries import LINES, REPOS, TEAMS, USERS, _won
-from tidemark.session import lookup, table
+from tidemark.session import lookup, spread, table
 
 MANIFESTS = "bronze_manifests"
 HAVE = [c for c in COUNTERS[:8]]
@@ -21,6 +21,10 @@ HAVE_FLAGS = FLAGS[:6]
 WINDOW = (date(2031, 3, 1), date(2031, 4, 20))
 
 
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, LINES).select("record_id", "scope_slug", "report_type", "report_day", "source_file", "line_no", "raw_json"))
+
+
 def _snapshot(spark: SparkSession, sf_dir: str, name: str, *keys: str) -> DataFrame:
     return latest.winning_rows(latest.snapshot_rows(table(spark, sf_dir, name)), ["scope_slug", "day", *keys])
 
@@ -88,7 +92,7 @@ def feature_usage_daily(spark, d):
 
 def _line_rows(spark, d, field):
     """Child rows of raw lines with the scope, day and user of their record."""
-    checked = silver.validated(table(spark, d, LINES), "users")
+    checked = silver.validated(_lines(spark, d), "users")
     rows = silver.child_rows(silver.nested_entries(checked, field), field)
     about = checked.select("record_id", F.lit("organization").alias("scope_kind"), "scope_slug", iso_date("report_day").alias("day"), F.expr("try_variant_get(v, '$.user_id', 'bigint')").alias("user_id"))
     return rows.join(about, "record_id").withColumn("ai_credits_used", F.lit(None).cast("double"))
@@ -208,26 +212,26 @@ def window_coalesce(spark, d):
 
 
 def validation_users(spark, d):
-    return silver.validated(table(spark, d, LINES), "users").where(F.size("reasons") > 0).select("record_id", F.array_join("reasons", ",").alias("reasons"))
+    return silver.validated(_lines(spark, d), "users").where(F.size("reasons") > 0).select("record_id", F.array_join("reasons", ",").alias("reasons"))
 
 
 def validation_repositories(spark, d):
-    return silver.validated(table(spark, d, LINES), "repositories").where(F.size("reasons") > 0).select("record_id", F.array_join("reasons", ",").alias("reasons"))
+    return silver.validated(_lines(spark, d), "repositories").where(F.size("reasons") > 0).select("record_id", F.array_join("reasons", ",").alias("reasons"))
 
 
 def quarantine_rows(spark, d):
-    lines = table(spark, d, LINES)
+    lines = _lines(spark, d)
     both = silver.quarantine(silver.validated(lines, "users")).unionByName(silver.quarantine(silver.validated(lines, "repositories")))
     return both.groupBy("report_type", "reason_codes_json").agg(F.count(F.lit(1)).alias("lines"), F.min("source_record_hash").alias("least_hash"))
 
 
 def user_rows(spark, d):
     picked = ["record_id", "day", "user_id", "user_login", "adoption_phase", "adoption_phase_number", "ai_credits_used", *COUNTERS[1:8], "used_chat", "used_cli"]
-    return silver.user_rows(silver.validated(table(spark, d, LINES), "users")).select(*picked)
+    return silver.user_rows(silver.validated(_lines(spark, d), "users")).select(*picked)
 
 
 def _entries(spark, d, field):
-    return silver.nested_entries(silver.validated(table(spark, d, LINES), "users"), field)
+    return silver.nested_entries(silver.validated(_lines(spark, d), "users"), field)
 
 
 def nested_features(spark, d):
@@ -247,13 +251,13 @@ def version_flatten(spark, d):
 
 
 def entity_days(spark, d):
-    return silver.entity_days(table(spark, d, LINES)).select("record_id", "position", "day", "organization_id", "daily_active_users")
+    return silver.entity_days(_lines(spark, d)).select("record_id", "position", "day", "organization_id", "daily_active_users")
 
 
 def unknown_fields(spark, d):
     contract = table(spark, d, "report_field_contracts").where("NOT contains(field_path, '.')").groupBy("report_type").agg(F.sort_array(F.collect_list("field_path")).alias("names"))
     expected = {r["report_type"]: r["names"] for r in contract.collect()}  # a fixed table of 60 rows
-    return silver.unknown_fields(table(spark, d, LINES), expected).select("record_id", "report_type", "field_path", "observed_type")
+    return silver.unknown_fields(_lines(spark, d), expected).select("record_id", "report_type", "field_path", "observed_type")
 
 
 def calendar_dimension(spark, d):

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import drift, hashruns, history, profile, rolling, shred, snapdiff
-from tidemark.session import materialized, table
+from tidemark.session import materialized, spread, table
 
 USERS, TEAMS, REPOS, LINES = "copilot_users_1_day", "copilot_user_teams_1_day", "copilot_repos_1_day", "silver_users_edge_cases"
 
@@ -52,12 +52,16 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.select("report_type", "day", "record_id", "change_kind")
 
 
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, LINES).select("record_id", "scope_slug", "report_type", "report_day", "source_file", "line_no", "raw_json"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shred.child_objects(table(spark, sf_dir, LINES), "record_id", "raw_json")
+    return shred.child_objects(_lines(spark, sf_dir), "record_id", "raw_json")
 
 
 def p4_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shred.child_tables(table(spark, sf_dir, LINES), "record_id", "raw_json")
+    return shred.child_tables(_lines(spark, sf_dir), "record_id", "raw_json")
 
 
 def p4_typed_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,7 +83,7 @@ def p4_typed_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drift.schema_changes(drift.lifespans(drift.field_observations(table(spark, sf_dir, LINES))))
+    return drift.schema_changes(drift.lifespans(drift.field_observations(_lines(spark, sf_dir))))
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,7 +103,7 @@ def p5_consistent(spark: SparkSession, sf_dir: str) -> DataFrame:
         "repo_id": ("bigint", ["$.repo_id"]),
         "repo_visibility": ("string", ["$.repo_visibility", "$.visibility"]),
     }
-    return drift.consistent_fields(table(spark, sf_dir, LINES), fields)
+    return drift.consistent_fields(_lines(spark, sf_dir), fields)
 
 
 def _versions(spark: SparkSession, sf_dir: str) -> DataFrame:

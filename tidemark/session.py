@@ -32,6 +32,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores if it comes in fewer pieces than there are, as a table of one small file does.
+
+    Larger tables come in more pieces and are left as they are, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for reliable checkpoints.
 
