@@ -6,24 +6,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import encode, packing, reading
-from tidemark.session import materialized, table
+from tidemark.session import materialized, spread, table
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode.token_ids(table(spark, sf_dir, "documents"))
+    return encode.token_ids(_documents(spark, sf_dir))
 
 
 def p8_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode.token_spans(table(spark, sf_dir, "documents"))
+    return encode.token_spans(_documents(spark, sf_dir))
 
 
 def p9_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sizes = materialized(encode.token_counts(table(spark, sf_dir, "documents")))
+    sizes = materialized(encode.token_counts(_documents(spark, sf_dir)))
     return packing.fill_containers(sizes, table(spark, sf_dir, "token_containers"))
 
 
 def _levels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents")
+    documents = _documents(spark, sf_dir)
     return reading.reading_levels(documents, reading.fit_scale(documents, table(spark, sf_dir, "reading_labels")))
 
 
