@@ -231,14 +231,16 @@ def merged_counts(blocks: DataFrame, groupings: tuple[int, ...] = (0, 1, 2, 3, 4
 def usage_hashes(users: DataFrame, teams: DataFrame) -> DataFrame:
     """Hashes of the user, organization and team identifiers of both reports.
 
-    The users report has no team, so its rows take part in groupings without a team only.
+    The users report has no team, so its rows take part in groupings without a
+    team only. Repeated rows are dropped map-side first: an identifier that holds
+    a large part of all rows reaches its hash range once per cell and task.
     """
     no_team = F.lit(None).cast("bigint")
     u = users.select("day", "organization_id", no_team.alias("team_id"), "user_id", F.lit(False).alias("has_team"))
     t = teams.select("day", "organization_id", F.col("team_id").cast("bigint"), "user_id", F.lit(True).alias("has_team"))
     both = u.unionByName(t)
     cell = ["has_team", "day", "organization_id", "team_id"]
-    people = identifier_hashes(both, cell, {0: F.col("user_id")})
+    people = identifier_hashes(both, cell, {0: F.col("user_id")}).distinct()
     groups = identifier_hashes(both.select(*cell).distinct(), cell, {1: F.col("organization_id"), 2: F.col("team_id")})
     return people.unionByName(groups)
 
