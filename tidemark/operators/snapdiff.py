@@ -87,13 +87,10 @@ def _diff_bucket(t: pa.Table) -> pa.Table:
     coded = [t[c].combine_chunks().dictionary_encode() for c in ("report_type", "scope_slug")]
     kind, scope = (x.indices.to_numpy(zero_copy_only=False).astype(np.int64) for x in coded)
     names = [x.dictionary.to_pylist() for x in coded]
-    record, seq, line, h, last = (t[c].to_numpy() for c in ("record_id", "snapshot_seq", "line", "h", "last_seq"))
+    record, seq, h, last = (t[c].to_numpy() for c in ("record_id", "snapshot_seq", "h", "last_seq"))
     place = kind * len(names[1]) + scope
-    order = np.lexsort((h, line, seq, record, place))
+    order = np.argsort(place, kind="stable")
     place, record, seq, h, last = (x[order] for x in (place, record, seq, h, last))
-    wins = np.ones(len(order), bool)  # the last row of each key and snapshot
-    wins[:-1] = (place[1:] != place[:-1]) | (record[1:] != record[:-1]) | (seq[1:] != seq[:-1])
-    place, record, seq, h, last = (x[wins] for x in (place, record, seq, h, last))
     out: dict[str, list] = {k: [] for k in ("place", "seq", "record", "what")}
     cuts = np.flatnonzero(np.diff(place)) + 1
     for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(place)]):
@@ -130,8 +127,12 @@ def _diff_bucket(t: pa.Table) -> pa.Table:
 
 
 def keyed_snapshots(df: DataFrame, report_type: str, key: str, attributes: list[Column], calendar: DataFrame) -> DataFrame:
-    """Rows of the snapshots in ``calendar`` as report type, scope, snapshot number, key, digest and line."""
-    return (
+    """The winning rows of the snapshots in ``calendar`` as report type, scope, snapshot number, key and digest.
+
+    Winners are chosen with an aggregate that combines map-side, so a key that is
+    repeated in a large part of all rows reaches its bucket once per snapshot.
+    """
+    rows = (
         df.drop("snapshot_seq", "last_seq").join(calendar, ["scope_slug", "day", "source_ingestion_id"])
         .where(F.col(key).isNotNull())
         .select(
@@ -141,9 +142,11 @@ def keyed_snapshots(df: DataFrame, report_type: str, key: str, attributes: list[
             "last_seq",
             F.col(key).cast("bigint").alias("record_id"),
             digest(attributes).alias("h"),
-            F.coalesce("source_line", F.lit(-1)).cast("bigint").alias("line"),
+            F.coalesce("source_line", F.lit(-(2**63))).cast("bigint").alias("line"),
         )
     )
+    keys = ["report_type", "scope_slug", "snapshot_seq", "last_seq", "record_id"]
+    return rows.groupBy(*keys).agg(F.max(F.struct("line", "h")).alias("w")).select(*keys, F.col("w.h").alias("h"))
 
 
 def snapshot_calendar(df: DataFrame) -> DataFrame:
