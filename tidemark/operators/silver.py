@@ -242,6 +242,72 @@ def ide_versions(entries: DataFrame) -> DataFrame:
     )
 
 
+# fixed values: members of the single objects of a usage report
+OBJECT_COUNTS = ("prompt_count", "request_count", "session_count", "total_user_messages")
+TOKEN_SUMS = ("output_tokens_sum", "prompt_tokens_sum")
+
+
+def object_children(checked: DataFrame, field: str) -> DataFrame:
+    """The single object ``field`` of the good lines, flattened, with ``object_reasons`` (empty for a good one).
+
+    An absent or null object gives no row, anything else that is no object one
+    row with its reason. Token sums must be integers, their average a number.
+    """
+    good = checked.where(F.size("reasons") == 0).where(_given(field))
+    is_object = F.coalesce(kind(field).startswith("OBJECT"), F.lit(False))
+    usage, version = f"{field}.token_usage", f"{field}.last_known_cli_version"
+    usage_object = F.coalesce(kind(usage).startswith("OBJECT"), F.lit(False))
+    checks = [
+        _unless(is_object, f"{field}_must_be_object"),
+        *[F.when(_given(f"{field}.{c}") & ~whole(f"{field}.{c}"), F.lit(f"{c}_must_be_nonnegative_integer")) for c in OBJECT_COUNTS],
+        F.when(_given(usage) & ~usage_object, F.lit("token_usage_must_be_object")),
+        *[F.when(_given(f"{usage}.{c}") & ~whole(f"{usage}.{c}"), F.lit(f"token_usage.{c}_must_be_nonnegative_number")) for c in TOKEN_SUMS],
+        F.when(_given(f"{usage}.avg_tokens_per_request") & ~number(f"{usage}.avg_tokens_per_request"), F.lit("token_usage.avg_tokens_per_request_must_be_nonnegative_number")),
+        F.when(_given(version) & ~F.coalesce(kind(version).startswith("OBJECT"), F.lit(False)), F.lit("last_known_cli_version_must_be_object")),
+    ]
+    get = lambda path, t: F.expr(f"try_variant_get(v, '$.{path}', '{t}')")
+    return once(good, "object_reasons", reasons(*checks)).select(
+        "record_id", "object_reasons", *[get(f"{field}.{c}", "bigint").alias(c) for c in OBJECT_COUNTS], *[get(f"{usage}.{c}", "bigint").alias(c) for c in TOKEN_SUMS],
+        get(f"{usage}.avg_tokens_per_request", "double").alias("avg_tokens_per_request"),
+        text(f"{version}.cli_version").alias("last_known_cli_version"), text(f"{version}.sampled_at").alias("last_known_cli_version_sampled_at"),
+    )
+
+
+def _array_rows(df: DataFrame, path: str, keep: list[str]) -> DataFrame:
+    """Object entries of the array at ``path``: ``keep``, position and ``e``; anything but an array gives nothing."""
+    own = df.where(F.coalesce(kind(path).startswith("ARRAY"), F.lit(False)))
+    each = own.selectExpr(*keep, f"posexplode(variant_get(v, '$.{path}', 'array<variant>')) AS (position, e)")
+    return each.where("schema_of_variant(e) LIKE 'OBJECT%'")
+
+
+def comment_types(checked: DataFrame) -> DataFrame:
+    """Suggestions by comment type of the good repositories lines; entries without a type or with bad totals are left out."""
+    names = ("total_copilot_suggestions", "total_copilot_applied_suggestions")
+    rows = _array_rows(checked.where(F.size("reasons") == 0), "pull_requests.copilot_suggestions_by_comment_type", ["record_id"])
+    ok = text("comment_type", "e").isNotNull()
+    for n in names:
+        ok = ok & (~_given(n, "e") | whole(n, "e"))
+    return rows.where(ok).select("record_id", "position", text("comment_type", "e").alias("comment_type"), *[F.expr(f"try_variant_get(e, '$.{n}', 'bigint')").alias(n) for n in names])
+
+
+def review_times(checked: DataFrame) -> DataFrame:
+    """Review times of the good repositories lines, with both parties given."""
+    rows = _array_rows(checked.where(F.size("reasons") == 0), "pull_request_review_times", ["record_id"])
+    named = [text(n, "e").alias(n) for n in ("authored_by", "reviewed_by")]
+    good = rows.where(text("authored_by", "e").isNotNull() & text("reviewed_by", "e").isNotNull() & (~_given("total_merged", "e") | whole("total_merged", "e")))
+    return good.select("record_id", "position", *named, F.expr("try_variant_get(e, '$.total_merged', 'bigint')").alias("total_merged"))
+
+
+def engaged_features(lines: DataFrame) -> DataFrame:
+    """Features of ``copilot_feature_engagement`` of entity lines, on the last day of their report."""
+    good = parsed(lines.where("report_type = 'entity'")).where("line_error IS NULL")
+    rows = _array_rows(good, "copilot_feature_engagement.totals_by_feature", ["record_id", "scope_slug", "v"])
+    return rows.where(text("feature", "e").isNotNull()).select(
+        "record_id", "scope_slug", text("report_end_day").alias("day"), "position", text("feature", "e").alias("feature"),
+        F.when(whole("engaged_user_count", "e"), F.expr("try_variant_get(e, '$.engaged_user_count', 'bigint')")).alias("engaged_user_count"),
+    )
+
+
 def entity_days(lines: DataFrame) -> DataFrame:
     """The days of entity lines: each object of ``day_totals`` with the wrapper's ids where it has none of its own."""
     good = parsed(lines.where("report_type = 'entity'")).where("line_error IS NULL AND schema_of_variant(variant_get(v, '$.day_totals', 'variant')) LIKE 'ARRAY%'")

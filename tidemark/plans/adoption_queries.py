@@ -250,6 +250,23 @@ def version_flatten(spark, d):
     return silver.ide_versions(_entries(spark, d, "totals_by_ide")).select("record_id", "position", "ide", "ide_version")
 
 
+def cli_rows(spark, d):
+    rows = silver.object_children(silver.validated(_lines(spark, d), "users"), "totals_by_cli")
+    return rows.select("record_id", F.array_join("object_reasons", ",").alias("reasons"), "prompt_count", "session_count", *silver.TOKEN_SUMS)
+
+
+def comment_types(spark, d):
+    return silver.comment_types(silver.validated(_lines(spark, d), "repositories"))
+
+
+def review_times(spark, d):
+    return silver.review_times(silver.validated(_lines(spark, d), "repositories"))
+
+
+def engaged_features(spark, d):
+    return silver.engaged_features(_lines(spark, d)).select("record_id", "day", "position", "feature", "engaged_user_count")
+
+
 def entity_days(spark, d):
     return silver.entity_days(_lines(spark, d)).select("record_id", "position", "day", "organization_id", "daily_active_users")
 
@@ -321,7 +338,7 @@ QUERIES = {
         ide_usage_daily, user_adoption_daily, user_adoption_current, rolling_entity, rolling_team, rolling_primary_team, data_freshness_daily,
         latest_wins_dedup, correction_counts, duplicate_issues, latest_manifest, snapshot_filter, manifest_filter, content_duplicates, upsert_merge,
         bounded_replacement, containment_violations, window_coalesce, validation_users, validation_repositories, quarantine_rows, user_rows,
-        nested_features, nested_commands, nested_quarantine, version_flatten, entity_days, unknown_fields, calendar_dimension, report_calendar,
+        nested_features, nested_commands, nested_quarantine, version_flatten, cli_rows, comment_types, review_times, engaged_features, entity_days, unknown_fields, calendar_dimension, report_calendar,
         audit_completed, stream_daily_events,
     ]
 } | {
@@ -509,6 +526,29 @@ def _line_usage_sql(field: str, dimension: str) -> str:
     SELECT scope_kind, scope_slug, {_DAY}, {_KEY}, {dimension}, {_COUNTED} {_SUMS} FROM r GROUP BY scope_kind, scope_slug, r.day, {dimension}"""
 
 
+def _unnested(source: str, path: str, where: str = "true") -> str:
+    at = f"json_extract(j, '$.{path}[*]')"
+    return f"""SELECT record_id, j, unnest({at}) AS e, CAST(generate_subscripts({at}, 1) - 1 AS INTEGER) AS position FROM {source}
+      WHERE {where} AND json_type(j, '$.{path}') = 'ARRAY' AND json_array_length(j, '$.{path}') > 0"""
+
+
+def _parts_sql(source: str, path: str, names: list[str], totals: list[str]) -> str:
+    bad = [f"(coalesce(json_type(e, '$.{t}'), 'NULL') <> 'NULL' AND NOT coalesce(json_type(e, '$.{t}') IN ('BIGINT', 'UBIGINT') AND {_int(t)} >= 0, false))" for t in totals]
+    return f"""WITH {_CR}, en AS ({_unnested(source, path, 'len(reasons) = 0')}) SELECT record_id, position, {', '.join(f"{_text(n, 'e')} AS {n}" for n in names)},
+      {', '.join(f"{_int(t)} AS {t}" for t in totals)} FROM en
+      WHERE json_type(e) = 'OBJECT' AND {' AND '.join(f"{_text(n, 'e')} IS NOT NULL" for n in names)} AND NOT ({' OR '.join(bad)})"""
+
+
+_CLI = "totals_by_cli"
+_CLI_SQL = [
+    _not_kind(_CLI, "OBJECT", f"{_CLI}_must_be_object"),
+    *[_bad_number(f"{_CLI}.{c}", f"{c}_must_be_nonnegative_integer", True) for c in silver.OBJECT_COUNTS],
+    _not_kind(f"{_CLI}.token_usage", "OBJECT", "token_usage_must_be_object"),
+    *[_bad_number(f"{_CLI}.token_usage.{c}", f"token_usage.{c}_must_be_nonnegative_number", True) for c in silver.TOKEN_SUMS],
+    _bad_number(f"{_CLI}.token_usage.avg_tokens_per_request", "token_usage.avg_tokens_per_request_must_be_nonnegative_number", False),
+    _not_kind(f"{_CLI}.last_known_cli_version", "OBJECT", "last_known_cli_version_must_be_object"),
+]
+
 _ORDERS = "o AS (SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_orderdate AS DATE) AS day, o_totalprice FROM orders)"
 _ORDER_CHANGES = "s AS (SELECT o_orderkey, o_custkey, 'X' AS o_orderstatus, day, o_totalprice FROM o WHERE o_custkey % 5 = 0 AND year(day) = 1995 AND o_orderkey % 3 <> 0)"
 _ORDER_OUT = "o_orderkey, o_custkey, o_orderstatus, strftime(day, '%Y-%m-%d') AS day, o_totalprice"
@@ -595,6 +635,19 @@ ORACLE_SQL = {
       UNION ALL SELECT record_id, -1, 'totals_by_feature_must_be_array' FROM cu WHERE len(reasons) = 0 AND coalesce({_t('totals_by_feature')}, 'NULL') NOT IN ('NULL', 'ARRAY')""",
     "version_flatten": f"""WITH {_CU}, {_entries_sql('totals_by_ide')} SELECT record_id, position, {_text('ide', 'e')} AS ide,
       coalesce({_text('last_known_ide_version.ide_version', 'e')}, {_text('last_known_ide_version', 'e')}) AS ide_version FROM en WHERE len(entry_reasons) = 0""",
+    "cli_rows": f"""WITH {_CU} SELECT record_id, array_to_string(list_sort([x FOR x IN [{", ".join(_CLI_SQL)}] IF x IS NOT NULL]), ',') AS reasons,
+      {', '.join(f"try_cast(json_extract_string(j, '$.totals_by_cli.{c}') AS BIGINT) AS {c}" for c in ("prompt_count", "session_count"))},
+      {', '.join(f"try_cast(json_extract_string(j, '$.totals_by_cli.token_usage.{c}') AS BIGINT) AS {c}" for c in silver.TOKEN_SUMS)}
+      FROM cu WHERE len(reasons) = 0 AND coalesce({_t('totals_by_cli')}, 'NULL') <> 'NULL'""",
+    "comment_types": _parts_sql(
+        "cr", f"{_P}.copilot_suggestions_by_comment_type", ["comment_type"], ["total_copilot_suggestions", "total_copilot_applied_suggestions"]
+    ),
+    "review_times": _parts_sql("cr", "pull_request_review_times", ["authored_by", "reviewed_by"], ["total_merged"]),
+    "engaged_features": f"""WITH ok AS (SELECT record_id, raw_json::JSON AS j {_LINE.format('entity')} AND json_valid(raw_json) AND CASE WHEN json_valid(raw_json) THEN json_type(raw_json) = 'OBJECT' END),
+      en AS ({_unnested('ok', 'copilot_feature_engagement.totals_by_feature')})
+      SELECT record_id, {_text('report_end_day')} AS day, position, {_text('feature', 'e')} AS feature,
+        CASE WHEN json_type(e, '$.engaged_user_count') IN ('BIGINT', 'UBIGINT') THEN {_int('engaged_user_count')} END AS engaged_user_count
+      FROM en WHERE json_type(e) = 'OBJECT' AND {_text('feature', 'e')} IS NOT NULL""",
     "entity_days": f"""WITH ok AS (SELECT record_id, raw_json::JSON AS j {_LINE.format('entity')} AND json_valid(raw_json) AND CASE WHEN json_valid(raw_json) THEN json_type(raw_json) = 'OBJECT' END),
       en AS (SELECT record_id, j, unnest(json_extract(j, '$.day_totals[*]')) AS e, CAST(generate_subscripts(json_extract(j, '$.day_totals[*]'), 1) - 1 AS INTEGER) AS position
         FROM ok WHERE {_t('day_totals')} = 'ARRAY' AND json_array_length(j, '$.day_totals') > 0)

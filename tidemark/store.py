@@ -50,6 +50,17 @@ def window_predicate(windows: list[tuple[str, str, str, str]], has_day: bool = T
     return out
 
 
+def snapshot_predicate(snapshots: list[tuple[str, str, str, str]]) -> Column:
+    """True for rows of any (scope_kind, scope_slug, report_type, day) snapshot, by their lineage columns."""
+    out = F.lit(False)
+    for kind, slug, report_type, day in sorted(set(snapshots)):
+        out = out | (
+            (F.col("scope_kind") == kind) & (F.col("scope_slug") == slug) & (F.col("source_report_type") == report_type)
+            & (F.col("source_report_day") == F.lit(day).cast("date"))
+        )
+    return out
+
+
 class Table:
     """A versioned parquet table in ``path`` (any Hadoop file system)."""
 
