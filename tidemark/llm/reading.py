@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import materialized
+
 #: Most rated documents and words that the fit reads to the driver.
 MAX_RATED, MAX_WORDS = 20_000, 50_000
 #: Raters' bands from which a document counts as of the top band when the limit is fitted.
@@ -223,9 +225,10 @@ def fit_scale(documents: DataFrame, labels: DataFrame, limit: int = MAX_RATED) -
     """Fits word grades and curves on a bounded sample of rated documents.
 
     To the driver come at most ``MAX_WORDS`` word grades and ``limit`` rows of
-    formula values, never texts.
+    formula values, never texts. The sample is written once, so that the corpus is
+    read only once for the fit.
     """
-    rated = rated_texts(documents, labels, limit)
+    rated = materialized(rated_texts(documents, labels, limit))
     words = (
         rated.mapInArrow(_word_sums, "word string, n bigint, total double")
         .groupBy("word").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
