@@ -105,3 +105,42 @@ def test_quarantine_and_empty(spark):
     checked = silver.validated(lines(spark, "{", GOOD), "users")
     assert [(r.record_id, r.reason_codes_json) for r in silver.quarantine(checked).collect()] == [(0, '["invalid_json"]')]
     assert silver.validated(lines(spark, GOOD).limit(0), "users").count() == 0
+
+
+def test_single_objects(spark):
+    df = lines(
+        spark, {**GOOD, "totals_by_cli": {"prompt_count": 2, "token_usage": {"output_tokens_sum": 3, "avg_tokens_per_request": 1.5}, "last_known_cli_version": {"cli_version": " 1.2 "}}},
+        {**GOOD, "totals_by_cli": [1]}, {**GOOD, "totals_by_cli": {"prompt_count": -1, "token_usage": 4}}, {**GOOD, "totals_by_cli": None}, GOOD,
+        {**GOOD, "totals_by_cli": {"token_usage": {"prompt_tokens_sum": 1.5}}},
+    )
+    got = {r.record_id: r for r in silver.object_children(silver.validated(df, "users"), "totals_by_cli").collect()}
+    assert set(got) == {0, 1, 2, 5} and got[0].object_reasons == []
+    assert (got[0].prompt_count, got[0].output_tokens_sum, got[0].avg_tokens_per_request, got[0].last_known_cli_version) == (2, 3, 1.5, "1.2")
+    assert got[1].object_reasons == ["totals_by_cli_must_be_object"]
+    assert got[2].object_reasons == ["prompt_count_must_be_nonnegative_integer", "token_usage_must_be_object"]
+    assert got[5].object_reasons == ["token_usage.prompt_tokens_sum_must_be_nonnegative_number"]
+
+
+def test_parts_of_repositories_and_entities(spark):
+    good = {"day": "2031-03-01", "repo_id": 1, "organization_id": "o"}
+    df = lines(
+        spark, {**good, "pull_requests": {"copilot_suggestions_by_comment_type": [{"comment_type": "a", "total_copilot_suggestions": 1}, None, {"comment_type": " "}, {"comment_type": "b", "total_copilot_suggestions": "1"}]},
+                "pull_request_review_times": [{"authored_by": "x", "reviewed_by": "y", "total_merged": 2}, {"authored_by": "x"}]},
+        {**good, "pull_requests": None, "pull_request_review_times": {}}, report="repositories",
+    )
+    checked = silver.validated(df, "repositories")
+    assert [(r.record_id, r.position, r.comment_type, r.total_copilot_suggestions) for r in silver.comment_types(checked).collect()] == [(0, 0, "a", 1)]
+    assert [(r.record_id, r.position, r.total_merged) for r in silver.review_times(checked).collect()] == [(0, 0, 2)]
+    entity = lines(spark, {"report_end_day": "2031-03-01", "copilot_feature_engagement": {"totals_by_feature": [{"feature": "f", "engaged_user_count": 3}, {"engaged_user_count": 1}]}}, "{", report="entity")
+    assert [(r.day, r.feature, r.engaged_user_count) for r in silver.engaged_features(entity).collect()] == [("2031-03-01", "f", 3)]
+
+
+def test_predicates(spark):
+    from tidemark import store
+
+    df = spark.createDataFrame([("o", "s", "users", "2031-03-01", 1), ("o", "s", "users", "2031-03-02", 2), ("o", "s", "entity", "2031-03-01", 3)], "scope_kind string, scope_slug string, source_report_type string, source_report_day string, k int")
+    inside = store.snapshot_predicate([("o", "s", "users", "2031-03-01")])
+    assert [r.k for r in df.withColumn("source_report_day", F.to_date("source_report_day")).where(inside).collect()] == [1]
+    days = spark.createDataFrame([("o", "s", "2031-03-01"), ("o", "t", "2031-03-01"), ("o", "s", "2031-03-09")], "scope_kind string, scope_slug string, day string").withColumn("day", F.to_date("day"))
+    assert days.where(store.window_predicate([("o", "s", "2031-03-01", "2031-03-05")])).count() == 1
+    assert days.where(store.window_predicate([("o", "s", "2031-03-01", "2031-03-05")], has_day=False)).count() == 2

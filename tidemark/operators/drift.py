@@ -34,6 +34,8 @@ from tidemark.operators.jsonlines import json_object
 SHARE = 0.25
 #: Values kept per field and file to compare what two fields hold: the least hashes.
 SKETCH = 12
+#: Lines after which a task passes on the footers it has gathered.
+FLUSH_LINES = 50_000
 STRING, NUMBER, BOOLEAN, OBJECT, ARRAY = range(5)
 TYPE_NAMES = ("string", "number", "boolean", "object", "array")
 FEED = ("scope_slug", "report_type")
@@ -105,12 +107,24 @@ class Footer:
 
 
 def partial_footers(lines: DataFrame) -> DataFrame:
-    """Footers of the lines of each batch: feed, day, file and the packed statistics. No shuffle."""
+    """Footers of the lines a task reads: feed, day, file and the packed statistics. No shuffle.
+
+    A footer is written every ``FLUSH_LINES`` lines, so what a file held by many
+    lines sends on stays small and no task keeps more than that many values.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        footers: dict[tuple, Footer] = {}
+        held = 0
+
+        def packed() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [*[pa.array(k, pa.string()) for k in zip(*footers)], pa.array([f.packed() for f in footers.values()])],
+                names=["scope_slug", "report_type", "report_day", "source_file", "footer"],
+            )
+
         for batch in batches:
             columns = [batch.column(k).to_pylist() for k in range(5)]
-            footers: dict[tuple, Footer] = {}
             for scope, report, day, file, raw in zip(*columns):
                 key = (scope, report, day, file)
                 footer = footers.get(key)
@@ -119,12 +133,12 @@ def partial_footers(lines: DataFrame) -> DataFrame:
                 record = json_object(raw)
                 if record is not None:
                     footer.add(record)
-            if footers:
-                keys = list(zip(*footers))
-                yield pa.RecordBatch.from_arrays(
-                    [*[pa.array(k, pa.string()) for k in keys], pa.array([f.packed() for f in footers.values()])],
-                    names=["scope_slug", "report_type", "report_day", "source_file", "footer"],
-                )
+            held += batch.num_rows
+            if held >= FLUSH_LINES and footers:
+                yield packed()
+                footers, held = {}, 0
+        if footers:
+            yield packed()
 
     return lines.select(*FEED, "report_day", "source_file", "raw_json").mapInArrow(
         run, "scope_slug string, report_type string, report_day string, source_file string, footer string"
