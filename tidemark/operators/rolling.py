@@ -42,18 +42,15 @@ def trailing_totals(
             *[(value if w is None or v == w else zero).alias(f"d{v}") for v in windows],
         )
 
-    deltas = placed.select(
-        entity,
-        F.explode(
-            F.array(event(F.col("_n"), None, F.col("_x")), *[event(F.col("_n") + w, w, -F.col("_x")) for w in windows])
-        ).alias("e"),
+    changes = F.array(event(F.col("_n"), None, F.col("_x")), *[event(F.col("_n") + w, w, -F.col("_x")) for w in windows])
+    calendar = F.transform(F.sequence(F.lit(first), F.lit(last)), lambda n: event(n, 0, zero))
+    # one row of each entity also brings the days without an amount
+    once = F.row_number().over(Window.partitionBy(entity).orderBy("_n")) == 1
+    events = placed.withColumn("_once", once).select(
+        entity, F.explode(F.when(F.col("_once"), F.concat(changes, calendar)).otherwise(changes)).alias("e")
     )
-    calendar = placed.select(entity).distinct().select(
-        entity, F.explode(F.sequence(F.lit(first), F.lit(last))).alias("n")
-    ).select(entity, event(F.col("n"), 0, zero).alias("e"))
     summed = (
-        deltas.where(F.col("e.n") <= last)
-        .unionByName(calendar)
+        events.where(F.col("e.n") <= last)
         .groupBy(entity, F.greatest(F.col("e.n"), F.lit(first - 1)).alias(number))
         .agg(*[F.sum(f"e.d{w}").alias(f"_d{w}") for w in windows])
     )
