@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import drift, shred
 from tidemark.operators.jsonlines import json_object
@@ -183,6 +184,61 @@ def test_aliases_and_casts(spark):
     assert [(r.record_id, r.n) for r in sorted(got)] == [(1, 7), (2, None), (3, None)]
 
 
+def test_the_consistent_table_has_every_path_under_its_usual_type(spark):
+    old = [{"day": "d", "used_chat": True, "o": {"n": k, "s": "x"}, "es": [{"f": f"v{k}", "c": 1}], "tags": ["p", 2], "m": 0.5, "n": k} for k in range(4)]
+    new = [{"day": "d", "chatUsed": True, "o": {"n": str(k), "s": "x"}, "es": [{"f_name": f"v{k}", "c": 2}], "m": 1, "n": k} for k in range(3)]
+    odd = {"day": "d", "chatUsed": False, "used_chat": True, "stray": [1], "o": {"n": "many", "z": 1}, "es": [None, 7, {"f": "a"}], "m": 2**60 + 1, "n": 1}
+    df = feed(spark, old, [*new, {**new[0], "es": {"f_name": "v3", "c": 3}}], [*old, odd, "{"]).withColumn("record_id", F.monotonically_increasing_id()).withColumn("line_no", F.lit(1).cast("bigint"))
+    df = spark.createDataFrame(df.collect(), df.schema)
+    schema = drift.target_schema(drift.field_observations(df))
+    table = drift.consistent_lines(df, schema)
+    types = dict(table.dtypes)
+    assert set(types) == {*drift.LINE_COLUMNS, "day", "used_chat", "o", "es", "tags", "m", "n"}
+    assert types["o"] == "struct<n:bigint,s:string>" and types["es"] == "array<struct<f:string,c:bigint>>"
+    assert (types["used_chat"], types["tags"], types["m"], types["n"]) == ("boolean", "array<string>", "double", "bigint")
+    got = sorted(table.collect(), key=lambda r: r.record_id)
+    assert len(got) == 14 and got[0].tags == ["p", "2"] and got[0].rescued == {}
+    assert (got[4].used_chat, got[4].o.n, got[4].es[0].f, got[4].es[0].c, got[4].m, got[4].rescued) == (True, 0, "v0", 2, 1.0, {})
+    assert got[7].es == [got[7].es[0]] and got[7].es[0].f == "v3"
+    r = got[12]
+    assert r.used_chat is False and r.o.n is None and [e and e.f for e in r.es] == [None, None, "a"]
+    assert r.rescued == {"used_chat": "true", "stray": "[1]", "o.n": "many", "o.z": "1", "es[1]": "7", "m": str(2**60 + 1)}
+    assert got[13].day is None and got[13].es is None
+
+
+def test_spellings_side_by_side_stay_fields_of_their_own(spark):
+    old, both, new = {"used_cloud_agent": True}, {"used_cloud_agent": True, "used_coding_agent": True}, {"used_coding_agent": True}
+    seen = drift.field_observations(feed(spark, [old] * 3, [new] * 3, [both] * 3))
+    assert [(r.old_field, r.new_field) for r in drift.alias_table(drift.schema_changes(drift.lifespans(seen))).collect()] == [("used_cloud_agent", "used_coding_agent")]
+    assert sorted(t.name for t in drift.target_schema(seen).members()) == ["used_cloud_agent", "used_coding_agent"]
+
+
+def test_p5_consistent_loses_no_value_of_a_line(spark, data):
+    import __spark_entry__ as entry
+
+    def leaves(value):
+        if isinstance(value, dict):
+            return sum(map(leaves, value.values()))
+        if isinstance(value, list):
+            return sum(map(leaves, value))
+        return value is not None
+
+    df = entry.queries()["p5_consistent"](spark, data)
+    fields = [c for c in df.columns if c not in drift.LINE_COLUMNS]
+    assert {"enterprise_id", "used_chat", "loc_deleted_sum", "pull_requests", "totals_by_cli", "totals_by_feature", "day_totals"} <= set(fields)
+    raw = {r.record_id: json_object(r.raw_json) for r in spark.read.parquet(f"{data}/silver_users_edge_cases.parquet").collect()}
+    rows = df.collect()
+    assert sorted(r.record_id for r in rows) == sorted(raw)
+    for r in rows:
+        row = r.asDict(recursive=True)
+        got = leaves({c: row[c] for c in fields})
+        # texts of whole objects count as one value, texts of arrays as many
+        if row["rescued"] or any(isinstance(v, str) and v[:1] in "[{" for v in (raw[r.record_id] or {}).values()):
+            assert got + len(row["rescued"]) > 0
+        else:
+            assert got == leaves(raw[r.record_id])
+
+
 @pytest.mark.parametrize(("name", "words"), [("chatUsed", {"chat", "used"}), ("a.b[].org_id", {"organization", "id"}), ("x", {"x"})])
 def test_name_words(name, words):
     assert drift.name_words(name) == words

@@ -8,13 +8,17 @@ into islands of the same type without a gap. A start of an island is an
 addition or a type change, an end without a following start a removal. A removal
 and an addition at the same place in the same file that carry the same
 information are a rename; the pairs feed an alias table, from which casts to one
-consistent schema are generated.
+consistent schema are generated: a tree of target fields with the usual type of
+every path of the catalogue and all its spellings.
 
 Defined cases: lines that are no JSON object count for nothing; a file has a
 field if at least a quarter of the objects that could hold it have the key; with
 only nulls the earlier type stays; members of an object or of array entries are
 judged only in files that have their holder in its usual type, against the last
-such file; of repeated keys the last counts; an empty table has no changes.
+such file; of repeated keys the last counts; an empty table has no changes. In
+the consistent table, spellings that stand side by side in a file are fields of
+their own; a value without a place in the schema (a stray field, a value that
+does not cast, a second spelling in one object) is kept in ``rescued``.
 """
 
 from __future__ import annotations
@@ -24,12 +28,13 @@ import math
 import re
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.jsonlines import json_object
+from tidemark.operators.jsonlines import json_object, json_value
 
 SHARE = 0.25
 #: Values kept per field and file to compare what two fields hold: the least hashes.
@@ -150,6 +155,10 @@ def _holder(path: str) -> str:
     return path.rpartition(".")[0]
 
 
+def _own_name(path: str) -> str:
+    return path.rpartition(".")[2]
+
+
 def _usual(s: list) -> int:
     """The most frequent type (ties: the first by name), or -1 with only nulls."""
     best = max(s[:5])
@@ -386,3 +395,202 @@ def consistent_fields(lines: DataFrame, fields: dict[str, tuple[str, list[str]]]
         for name, (kind, paths) in fields.items()
     ]
     return lines.select("record_id", *FEED, "source_file", "line_no", *casts)
+
+
+@dataclass
+class Target:
+    """A field of the consistent schema: its column, its usual type, and its members by each of their spellings.
+
+    ``kind`` is ``string``, ``bigint``, ``double``, ``boolean``, ``object`` or ``array``. An array without
+    catalogued members holds texts; an object without them is a text itself.
+    """
+
+    name: str = ""
+    kind: str = "object"
+    spellings: dict[str, Target] = field(default_factory=dict)
+
+    def members(self) -> list[Target]:
+        return list({id(t): t for t in self.spellings.values()}.values())
+
+    def arrow_type(self) -> pa.DataType:
+        if self.kind in ("object", "array") and self.spellings:
+            entry = pa.struct([pa.field(t.name, t.arrow_type()) for t in self.members()])
+            return entry if self.kind == "object" else pa.list_(entry)
+        if self.kind == "array":
+            return pa.list_(pa.string())
+        return {"bigint": pa.int64(), "double": pa.float64(), "boolean": pa.bool_()}.get(self.kind, pa.string())
+
+    def sql_type(self) -> str:
+        if self.kind in ("object", "array") and self.spellings:
+            entry = f"struct<{', '.join(f'`{t.name}`: {t.sql_type()}' for t in self.members())}>"
+            return entry if self.kind == "object" else f"array<{entry}>"
+        return "array<string>" if self.kind == "array" else "string" if self.kind == "object" else self.kind
+
+
+#: Columns of the consistent table that no field may be called.
+LINE_COLUMNS = ("record_id", *FEED, "source_file", "line_no", "rescued")
+#: Least share of whole numbers that makes a number field one of integers.
+WHOLE_SHARE = 0.99
+
+
+def _aliased_side_by_side(observations: DataFrame, names: list[str]) -> set[tuple[str, str]]:
+    """The pairs of ``names`` that some file has both of. Names are a few spellings, so the pairs are too."""
+    seen = observations.where(F.col("field").isin(names)).groupBy(*FEED, "source_file").agg(F.array_sort(F.collect_set("field")).alias("f"))
+    pairs = seen.select(F.explode("f").alias("a"), "f").select("a", F.explode("f").alias("b")).where("a <> b").distinct()
+    return {(r["a"], r["b"]) for r in pairs.collect()}
+
+
+def target_schema(observations: DataFrame) -> Target:
+    """The consistent schema of all feeds, from the lifespan catalogue and the alias table of their changes.
+
+    Every path of the catalogue is in it under its most frequent spelling, with
+    the type of most of its values. What comes to the driver is one row per path
+    and type and one per pair of spellings, whatever the number of files.
+    """
+    aliases = alias_table(schema_changes(lifespans(observations))).collect()
+    counts = observations.groupBy("field", "json_type").agg(F.sum("n").alias("n"), F.sum("integers").alias("whole")).collect()
+    apart = _aliased_side_by_side(observations, sorted({f for r in aliases for f in (r["old_field"], r["new_field"])}))
+
+    values: dict[str, dict[str, int]] = {}
+    wholes: dict[str, int] = {}
+    for r in counts:
+        values.setdefault(r["field"], {})[r["json_type"] or "string"] = r["n"]
+        if r["json_type"] == "number":
+            wholes[r["field"]] = r["whole"]
+    times: dict[tuple[str, str], int] = {}
+    for r in aliases:
+        pair = tuple(sorted((r["old_field"], r["new_field"])))
+        times[pair] = times.get(pair, 0) + r["times"]
+    group = {f: {f} for f in values}
+    for a, b in sorted(times, key=lambda p: (-times[p], p)):
+        one, two = group[a], group[b]
+        if one is not two and not any((x, y) in apart for x in one for y in two):
+            one |= two
+            group.update(dict.fromkeys(two, one))
+
+    root = Target()
+    places: dict[str, Target] = {"": root}
+    # holders before members; all spellings of a holder share one target, so their members come together
+    for depth in sorted({f.count(".") for f in values}):
+        below: dict[int, tuple[Target, dict[str, list[str]], dict[str, set[str]]]] = {}
+        for f in sorted(f for f in values if f.count(".") == depth and _holder(f) in places):
+            holder = places[_holder(f)]
+            _, paths, same = below.setdefault(id(holder), (holder, {}, {}))
+            paths.setdefault(_own_name(f), []).append(f)
+            spellings = {_own_name(x) for x in group[f]}
+            spellings = spellings.union(*(same[k] for k in spellings if k in same))
+            same.update(dict.fromkeys(spellings, spellings))
+        for holder, paths, same in below.values():
+            weight = {k: sum(sum(values[f].values()) for f in fs) for k, fs in paths.items()}
+            taken = {c.lower() for c in LINE_COLUMNS} if holder is root else set()
+            for spellings in sorted({frozenset(m) for m in same.values()}, key=lambda m: (-sum(weight[k] for k in m), min(m))):
+                fields = [f for k in spellings for f in paths[k]]
+                total = {t: sum(values[f].get(t, 0) for f in fields) for t in TYPE_NAMES}
+                kind = max(TYPE_NAMES, key=lambda t: (total[t], t == "string"))
+                if kind == "number":
+                    kind = "bigint" if sum(wholes.get(f, 0) for f in fields) >= WHOLE_SHARE * total[kind] else "double"
+                name = min(spellings, key=lambda k: (-weight[k], k))
+                while name.lower() in taken:
+                    name += "_field"
+                taken.add(name.lower())
+                target = Target(name, kind)
+                holder.spellings.update(dict.fromkeys(sorted(spellings), target))
+                if kind in ("object", "array"):
+                    places.update(dict.fromkeys((f if kind == "object" else f + "[]" for f in fields), target))
+    return root
+
+
+_TRUE, _FALSE = {"t", "true", "y", "yes", "1"}, {"f", "false", "n", "no", "0"}
+_NUMBER = re.compile(r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?")
+
+
+def _text(value) -> str:
+    text = value if type(value) is str else json.dumps(value, ensure_ascii=False, separators=(",", ":"))
+    # half a surrogate pair has no place in UTF-8
+    return text if text.isascii() else text.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
+
+
+def fitted(value, target: Target, path: str, rescued: list[tuple[str, str]]):
+    """``value`` in the shape of ``target``; whatever has no place there goes to ``rescued`` with its path."""
+    if value is None:
+        return None
+    kind, what = target.kind, type(value)
+    if kind == "string" or kind == "object" and not target.spellings:
+        return _text(value)
+    if what is str and kind in ("object", "array") and value.lstrip()[:1] in ("{", "["):
+        ok, inner = json_value(value)
+        value, what = (inner, type(inner)) if ok else (value, what)
+    if kind == "object" and what is dict:
+        return _members(value, target, path + ".", rescued)
+    if kind == "array" and what in (dict, list):
+        entries = [value] if what is dict else value
+        if not target.spellings:
+            return [None if e is None else _text(e) for e in entries]
+        out = []
+        for k, e in enumerate(entries):
+            if type(e) is dict:
+                out.append(_members(e, target, f"{path}[{k}].", rescued))
+            else:
+                out.append(None)
+                if e is not None:
+                    rescued.append((f"{path}[{k}]", _text(e)))
+        return out
+    cast = None
+    if kind == "boolean":
+        word = value if what is bool else _text(value).strip().lower() if what in (str, int) else None
+        cast = word if what is bool else True if word in _TRUE else False if word in _FALSE else None
+    elif kind in ("bigint", "double"):
+        number = value if what in (int, float) else None
+        if what is str and _NUMBER.fullmatch(value.strip()):
+            text = value.strip()
+            number = int(text) if len(text) < 30 and text.lstrip("+-").isdigit() else float(text)
+        if number is not None and abs(number) < 1e300 and (type(number) is int or math.isfinite(number)):
+            if kind == "double":
+                cast = float(number) if float(number) == number else None
+            elif number == int(number) and -(2**63) <= number < 2**63:
+                cast = int(number)
+    if cast is None:
+        rescued.append((path, _text(value)))
+    return cast
+
+
+def _members(node: dict, target: Target, prefix: str, rescued: list[tuple[str, str]]) -> dict:
+    out: dict = {}
+    for key, value in node.items():
+        member = target.spellings.get(key)
+        if member is None or value is not None and out.get(member.name) is not None:
+            rescued.append((prefix + key, _text(value)))
+        elif value is not None:
+            out[member.name] = fitted(value, member, prefix + key, rescued)
+    return out
+
+
+def consistent_lines(lines: DataFrame, schema: Target) -> DataFrame:
+    """The lines as one table with a column for each target field, nested ones as structs and arrays of structs.
+
+    Casts are generated from ``schema`` and applied batch by batch without a
+    shuffle. ``rescued`` maps the path (``a.b``, ``a[0].b``) of every value
+    without a place in the schema to its text. Lines that are no JSON object
+    give null fields.
+    """
+    fields = schema.members()
+    types = [t.arrow_type() for t in fields]
+    rescued_type = pa.map_(pa.string(), pa.string())
+    keep = ("record_id", *FEED, "source_file", "line_no")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, rest = [], []
+            for raw in batch.column(len(keep)).to_pylist():
+                record, rescued = json_object(raw), []
+                rows.append({} if record is None else _members(record, schema, "", rescued))
+                rest.append([(_text(p), x) for p, x in dict(rescued).items()])
+            columns = [pa.array([r.get(t.name) for r in rows], kind) for t, kind in zip(fields, types)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[: len(keep)], *columns, pa.array(rest, rescued_type)], names=[*keep, *[t.name for t in fields], "rescued"]
+            )
+
+    picked = lines.select(*keep, "raw_json")
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in picked.schema.fields[:-1])
+    targets = "".join(f", `{t.name}` {t.sql_type()}" for t in fields)
+    return picked.mapInArrow(run, f"{kept}{targets}, rescued map<string,string>")

@@ -91,19 +91,9 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_consistent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fields = {
-        "day": ("string", ["$.day"]),
-        "user_id": ("bigint", ["$.user_id"]),
-        "organization_id": ("string", ["$.organization_id", "$.org_id", "$.organizationId"]),
-        "user_login": ("string", ["$.user_login", "$.login", "$.handle"]),
-        "ai_credits_used": ("double", ["$.ai_credits_used", "$.aiCreditsUsed", "$.ai_credits_consumed"]),
-        "used_copilot_cloud_agent": ("boolean", ["$.used_copilot_cloud_agent", "$.used_copilot_coding_agent"]),
-        "preview_enabled": ("boolean", ["$.unexpected_preview_field.enabled"]),
-        "loc_added_sum": ("bigint", ["$.loc_added_sum", "$.locAddedSum", "$.lines_added_sum"]),
-        "repo_id": ("bigint", ["$.repo_id"]),
-        "repo_visibility": ("string", ["$.repo_visibility", "$.visibility"]),
-    }
-    return drift.consistent_fields(_lines(spark, sf_dir), fields)
+    lines = _lines(spark, sf_dir)
+    observations = materialized(drift.field_observations(lines))  # a row per file and field, read several times
+    return drift.consistent_lines(lines, drift.target_schema(observations))
 
 
 def _versions(spark: SparkSession, sf_dir: str) -> DataFrame:
