@@ -108,6 +108,31 @@ def test_child_tables_keep_parents_and_values(spark):
     assert got["a[1]"].attributes == {} and got["a[1]"].position == 1
 
 
+def test_whole_child_tables_have_the_root_and_every_entry(spark):
+    df = lines(spark, '{"u": 1, "p": {"t": 2, "q": {"r": false}}, "topics": ["x", null, [3], {}], "a": [{"b": [{"m": 1}]}]}', "{}", "[1]")
+    got = {(r.record_id, r.child_path): r for r in shred.child_tables(df, "record_id", "raw_json", every=True).collect()}
+    assert {k: r.kind for k, r in got.items()} == {
+        (0, ""): "object", (0, "topics[0]"): "scalar", (0, "topics[1]"): "null", (0, "topics[2]"): "array", (0, "topics[2][0]"): "scalar",
+        (0, "topics[3]"): "object", (0, "a[0]"): "object", (0, "a[0].b[0]"): "object", (1, ""): "object",
+    }
+    root = got[0, ""]
+    assert root.attributes == {"u": "1", "p.t": "2", "p.q.r": "false"} and (root.table_path, root.parent_path, root.position) == ("", None, None)
+    assert got[0, "topics[0]"].attributes == {"": "x"} and got[0, "topics[2][0]"].attributes == {"": "3"} and got[0, "topics[2][0]"].position == 0
+    assert all((r.record_id, r.parent_path) in got for k, r in got.items() if k[1])
+
+
+def test_typed_structs_come_out(spark, data):
+    import __spark_entry__ as entry
+
+    repos = spark.read.parquet(f"{data}/copilot_repos_1_day.parquet").where("pull_requests IS NOT NULL")
+    got = entry.queries()["p4_typed_pull_requests"](spark, data)
+    assert len(got.columns) == 3 + 14 and got.count() == repos.count() > 0
+    assert got.agg(F.sum("total_created")).first() == repos.agg(F.sum("pull_requests.total_created")).first()
+    phases = spark.read.parquet(f"{data}/copilot_users_1_day.parquet").where("ai_adoption_phase IS NOT NULL")
+    counted = entry.queries()["p4_typed_phases"](spark, data).groupBy("name").count()
+    assert set(counted.collect()) == set(phases.groupBy("ai_adoption_phase.name").count().collect())
+
+
 def test_shredded_columns_are_one_row_per_record_and_path(spark):
     got = {(r.record_id, r.path): r for r in shred.shredded_columns(lines(spark, '{"a": [{}, {}]}', "{}"), "record_id", "raw_json").collect()}
     assert set(got) == {(0, "a[]")} and got[0, "a[]"].repetition == [0, 1] and got[0, "a[]"].kinds == [1, 1]

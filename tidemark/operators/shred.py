@@ -42,10 +42,15 @@ ARRAY_FIELDS = frozenset(
     ]
 )
 OBJECT, ARRAY, SCALAR, NULL = 1, 2, 3, 4
+KIND_NAMES = np.array([None, "object", "array", "scalar", "null"], object)
 
 Path = tuple[str, ...]  # segments between repeated steps: ("day_totals", "totals_by_mcp") is day_totals[].totals_by_mcp[]
 
 
+def _text(value) -> str:
+    return value if type(value) is str else "true" if value is True else "false" if value is False else repr(value)
+
+
 class Shredder:
     """Takes records apart; ``columns()`` gives the level sequences of what was fed so far."""
 
@@ -79,7 +84,7 @@ class Shredder:
             elif self.scalars and value is not None:
                 rows, texts = self.leaves.setdefault((path, prefix + key), ([], []))
                 rows.append(at)
-                texts.append(value if type(value) is str else "true" if value is True else "false" if value is False else repr(value))
+                texts.append(_text(value))
 
     def _array(self, entries: list, path: Path, at: int) -> None:
         parent = self.parent.get(path)
@@ -98,9 +103,16 @@ class Shredder:
                 self._array(entry, (*path, ""), here)
             else:
                 kind.append(NULL if entry is None else SCALAR)
+                if self.scalars and entry is not None:
+                    rows, texts = self.leaves.setdefault((path, ""), ([], []))
+                    rows.append(here)
+                    texts.append(_text(entry))
+
+    def columns(self, root: bool = False) -> dict[Path, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Of each repeated path its repetition levels, definition levels, kinds and entry numbers (-1 where absent).
 
-    def columns(self) -> dict[Path, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """Of each repeated path its repetition levels, definition levels, kinds and entry numbers (-1 where absent)."""
+        With ``root`` the records themselves come too, as the path ``()``.
+        """
         n = self.records
         done = {(): (np.zeros(n, np.int8), np.zeros(n, np.int8), np.full(n, OBJECT, np.int8), np.arange(n))}
         for path in sorted(self.parent, key=len):
@@ -127,7 +139,8 @@ class Shredder:
             entry[there] = order[(np.repeat(start, length) + within)[there]]
             kinds = np.where(there, np.asarray(self.kind[path], np.int8)[entry], 0).astype(np.int8)
             done[path] = (rep, definition, kinds, entry)
-        del done[()]
+        if not root:
+            del done[()]
         return done
 
 
@@ -155,12 +168,17 @@ def path_name(path: Path) -> str:
     return "".join(f"{'.' if k and s else ''}{s}[]" for k, s in enumerate(path))
 
 
-def rebuild(rep: np.ndarray, kinds: np.ndarray, path: Path) -> tuple[np.ndarray, list[str], np.ndarray]:
-    """Of the object entries of a column: record number, path with positions, and index in the sequence."""
-    record, at = positions(rep, len(path))
-    rows = np.flatnonzero(kinds == OBJECT)
+def _named(path: Path, at: list[np.ndarray], rows: np.ndarray) -> list[str]:
+    """The path with positions of the entries ``rows``; the record's own is empty."""
     form = _template(path)
-    return record[rows], [form % p for p in zip(*(a[rows].tolist() for a in at))], rows
+    return [form % p for p in zip(*(a[rows].tolist() for a in at))] if path else [""] * len(rows)
+
+
+def rebuild(rep: np.ndarray, kinds: np.ndarray, path: Path, every: bool = False) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """Of the object entries of a column (or all with ``every``): record number, path with positions, and index in the sequence."""
+    record, at = positions(rep, len(path))
+    rows = np.flatnonzero(kinds != 0) if every else np.flatnonzero(kinds == OBJECT)
+    return record[rows], _named(path, at, rows), rows
 
 
 def _shredded(batch: pa.RecordBatch, lone: frozenset[str], scalars: bool) -> tuple[list[int], Shredder]:
@@ -216,12 +234,18 @@ def child_objects(lines: DataFrame, record_id: str, raw: str, lone_as_array: fro
     return lines.select(F.col(record_id).cast("bigint"), raw).mapInArrow(run, "record_id bigint, child_path string")
 
 
-def child_tables(lines: DataFrame, record_id: str, raw: str, lone_as_array: frozenset[str] = ARRAY_FIELDS) -> DataFrame:
+def child_tables(lines: DataFrame, record_id: str, raw: str, lone_as_array: frozenset[str] = ARRAY_FIELDS, every: bool = False) -> DataFrame:
     """All child tables in one: record_id, table_path, child_path, parent_path, position and the scalars of the entry.
 
     ``parent_path`` is the entry (or '' for the record) whose array holds the
     child; ``attributes`` maps each scalar leaf, members of plain objects
     included (``a.b``), to its text. Filter on ``table_path`` for one table.
+
+    With ``every`` the tables are whole: the root table (``table_path`` and
+    ``child_path`` '', no parent and position) holds one row per record with the
+    scalars of the line and its plain objects, entries that are no object come
+    too (a scalar's text under the key ''), and ``kind`` (object, array, scalar,
+    null) says what an entry is. So each parent_path is a child_path.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,8 +255,8 @@ def child_tables(lines: DataFrame, record_id: str, raw: str, lone_as_array: froz
             by_path: dict[Path, list[tuple[str, list[int], list[str]]]] = {}
             for (path, name), (rows, texts) in shredder.leaves.items():
                 by_path.setdefault(path, []).append((name, rows, texts))
-            for path, (rep, _, kinds, entry) in shredder.columns().items():
-                record, names, rows = rebuild(rep, kinds, path)
+            for path, (rep, _, kinds, entry) in shredder.columns(every).items():
+                record, names, rows = rebuild(rep, kinds, path, every)
                 if not names:
                     continue
                 attributes: dict[int, list[tuple[str, str]]] = {}
@@ -241,21 +265,23 @@ def child_tables(lines: DataFrame, record_id: str, raw: str, lone_as_array: froz
                         attributes.setdefault(k, []).append((name, text))
                 _, at = positions(rep, len(path))
                 # the last positions and the last segment belong to the child; what is before names the parent
-                outer = _template(path[:-1])
-                parents = [outer % p for p in zip(*(a[rows].tolist() for a in at[:-1]))] if len(path) > 1 else [""] * len(rows)
+                parents = _named(path[:-1], at[:-1], rows) if path else [None] * len(rows)
+                kind = [pa.array(KIND_NAMES[kinds[rows]], pa.string())] if every else []
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(ids[record]),
                         pa.array([path_name(path)] * len(rows)),
                         pa.array(names),
-                        pa.array(parents),
-                        pa.array(at[-1][rows].astype(np.int32)),
+                        pa.array(parents, pa.string()),
+                        pa.array(at[-1][rows].astype(np.int32)) if path else pa.nulls(len(rows), pa.int32()),
                         pa.array([attributes.get(k, []) for k in entry[rows].tolist()], pa.map_(pa.string(), pa.string())),
+                        *kind,
                     ],
-                    names=["record_id", "table_path", "child_path", "parent_path", "position", "attributes"],
+                    names=["record_id", "table_path", "child_path", "parent_path", "position", "attributes", *(["kind"] if every else [])],
                 )
 
     schema = "record_id bigint, table_path string, child_path string, parent_path string, position int, attributes map<string,string>"
+    schema += ", kind string" if every else ""
     return lines.select(F.col(record_id).cast("bigint"), raw).mapInArrow(run, schema)
 
 
@@ -263,3 +289,8 @@ def typed_children(df: DataFrame, keys: list[str], array: str, members: list[str
     """The entries of a typed array of structs with ``keys``, their position and ``members``; null entries keep their place and are left out."""
     flat = df.select(*keys, F.posexplode(F.col(array)).alias("position", "_entry")).where("_entry IS NOT NULL")
     return flat.select(*keys, "position", *[F.col(f"_entry.{m}").alias(m) for m in members])
+
+
+def typed_struct(df: DataFrame, keys: list[str], struct: str, members: list[str]) -> DataFrame:
+    """The typed struct with ``keys`` and ``members``, one row where it is not null."""
+    return df.where(F.col(struct).isNotNull()).select(*keys, *[F.col(f"{struct}.{m}").alias(m) for m in members])

@@ -61,7 +61,7 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shred.child_tables(_lines(spark, sf_dir), "record_id", "raw_json")
+    return shred.child_tables(_lines(spark, sf_dir), "record_id", "raw_json", every=True)
 
 
 def p4_typed_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,6 +82,18 @@ def p4_typed_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shred.typed_children(table(spark, sf_dir, REPOS), keys, "pull_request_review_times", members)
 
 
+def p4_typed_phases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = ["source_ingestion_id", "source_line", "user_id"]
+    return shred.typed_struct(table(spark, sf_dir, USERS), keys, "ai_adoption_phase", ["name", "phase_number", "version"])
+
+
+def p4_typed_pull_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The totals and medians of pull_requests; its array is ``p4_typed_comments``."""
+    repos = table(spark, sf_dir, REPOS)
+    members = [f.name for f in repos.schema["pull_requests"].dataType if f.dataType.typeName() != "array"]
+    return shred.typed_struct(repos, ["source_ingestion_id", "source_line", "repo_id"], "pull_requests", members)
+
+
 def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.schema_changes(drift.lifespans(drift.field_observations(_lines(spark, sf_dir))))
 
@@ -123,6 +135,8 @@ QUERIES = {
     "p4_typed_features": p4_typed_features,
     "p4_typed_comments": p4_typed_comments,
     "p4_typed_reviews": p4_typed_reviews,
+    "p4_typed_phases": p4_typed_phases,
+    "p4_typed_pull_requests": p4_typed_pull_requests,
     "p5_found": p5_found,
     "p5_consistent": p5_consistent,
     "p6_found": p6_found,
