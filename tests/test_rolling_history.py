@@ -51,6 +51,12 @@ def test_user_totals_use_winning_rows_of_snapshots(spark):
     assert rolling.user_trailing_totals(df.limit(0)).count() == 0
 
 
+def test_users_of_superseded_deliveries_have_every_day(spark):
+    df = spark.createDataFrame([user("2031-03-01", 1, 5), user("2031-03-02", 2, 7), user("2031-03-02", 1, 1, ident="b")], USERS)
+    got = {(r.user_id, r.day): r.total_7 for r in rolling.user_trailing_totals(df).collect()}
+    assert got == {(1, "2031-03-01"): 5, (1, "2031-03-02"): 6, (2, "2031-03-01"): 0, (2, "2031-03-02"): 0}
+
+
 def observations(spark, *rows):
     return spark.createDataFrame([("user", *r) for r in rows], "entity_kind string, entity_id bigint, attribute_value string, day string")
 

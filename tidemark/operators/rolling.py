@@ -67,7 +67,8 @@ def user_trailing_totals(
     """Trailing totals of ``amount`` per user and calendar day of the users report.
 
     The amounts are those of the snapshots' winning rows. The calendar runs from
-    the first to the last day of the table, for every user in it.
+    the first to the last day of the table, for every user with
+    a readable day in it, be it in superseded deliveries only.
     """
     rows = snapshot_rows(users)
     won = winning_values(rows, ["scope_slug", "day", "user_id"], F.col(amount), "amount")
@@ -77,6 +78,10 @@ def user_trailing_totals(
         placed, first, last = placed.limit(0), 0, 0
     else:
         first, last = span["a"], span["b"]
+        # an amount of 0 brings in users without a winning row; distinct combines map-side
+        every = users.where(day_number("day").isNotNull()).select("user_id").distinct()
+        zero = F.lit(0).cast(placed.schema["amount"].dataType)
+        placed = placed.unionByName(every.select("user_id", F.lit(first).alias("day_number"), zero.alias("amount")))
     out = trailing_totals(placed, "user_id", "day_number", "amount", windows, first, last)
     return out.select(
         "user_id",
