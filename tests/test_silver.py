@@ -101,6 +101,27 @@ def test_unknown_fields_and_issues(spark):
     assert [(r.upsert_key_json, r.severity) for r in silver.duplicate_issues(rows, "t", ["k", "s"]).collect()] == [('{"k":1,"s":null}', "warning")]
 
 
+def test_unknown_fields_of_objects_and_entries(spark):
+    known = ["a", "o", "o.x", "es", "es[].k", "es[].in", "totals_by_ide", "totals_by_ide[].ide"]
+    df = lines(
+        spark, {"o": {"x": 1, "y": {"z": 1}}, "es": [{"k": 1, "q": True}, None, {"q": "later"}, [{"r": 1}], {"in": [{"s": None}]}]},
+        {"totals_by_ide": {"ide": "v", "extra": 1}, "o.x": 2, "stray": {"x": 1}}, {"a": 1, "o": None, "es": "text", "totals_by_ide": '[{"ide": "v", "late": []}]'},
+    )
+    got = {(r.record_id, r.field_path, r.observed_type) for r in silver.unknown_fields(df, {"users": known}).collect()}
+    assert got == {
+        (0, "o.y", "object"), (0, "es[].q", "boolean"), (0, "es[][].r", "number"), (0, "es[].in[].s", "null"),
+        (1, "totals_by_ide[].extra", "number"), (1, "o.x", "number"), (1, "stray", "object"), (2, "totals_by_ide[].late", "array"),
+    }
+
+
+def test_unknown_fields_query_reaches_nested_fields(spark, data, duck):
+    import __spark_entry__ as entry
+
+    got = {tuple(r) for r in entry.queries()["unknown_fields"](spark, data).select("record_id", "report_type", "field_path", "observed_type").collect()}
+    assert {"." in r[2] for r in got} == {True, False}
+    assert {r for r in got if "." not in r[2]} == {r for r in duck.execute(entry.oracle_sql()["unknown_fields"]).fetchall() if "." not in r[2]}
+
+
 def test_quarantine_and_empty(spark):
     checked = silver.validated(lines(spark, "{", GOOD), "users")
     assert [(r.record_id, r.reason_codes_json) for r in silver.quarantine(checked).collect()] == [(0, '["invalid_json"]')]

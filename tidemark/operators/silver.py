@@ -8,15 +8,22 @@ parent.
 
 Defined cases: blank lines are skipped; JSON true is no number and 2.0 no
 integer; integers beyond 64 bits are errors; an absent, null or empty array has
-no children; a field may come or not, extra fields are reported as drift.
+no children; a field may come or not, extra fields are reported as drift, nested
+ones too.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.contracts import ARRAYS, BREAKDOWN, CHILD_OF, COUNTERS, FLAGS, PULL_REQUESTS, SOURCE_NAMES
+from tidemark.operators.jsonlines import json_object, json_value
+from tidemark.operators.shred import ARRAY_FIELDS
 
 BLANK = r"^[\s\x{0085}\x{00A0}]*$"
 
@@ -320,22 +327,67 @@ def entity_days(lines: DataFrame) -> DataFrame:
     )
 
 
+def _json_type(value) -> str:
+    if value is None:
+        return "null"
+    return {dict: "object", list: "array", str: "string", bool: "boolean"}.get(type(value), "number")
+
+
+def stray_members(record: dict, known: frozenset[str]) -> dict[str, object]:
+    """The keys of a record outside ``known`` with the value first seen, by path (``a``, ``a.b``, ``a[].b``).
+
+    Objects and array entries under known paths are searched, at any depth; what
+    lies inside an unknown field is part of that field.
+    """
+    found: dict[str, object] = {}
+
+    def node(members: dict, prefix: str) -> None:
+        for key, value in members.items():
+            path = prefix + key
+            # a key with a dot of its own is no path of the contract
+            if path not in known or "." in key:
+                found.setdefault(path, value)
+            elif type(value) is dict:
+                # a lone object at an array field is its only entry
+                node(value, f"{path}[]." if key in ARRAY_FIELDS else f"{path}.")
+            elif type(value) is list:
+                entries(value, path + "[]")
+            elif type(value) is str and key in ARRAY_FIELDS and value.lstrip()[:1] == "[":
+                _, inner = json_value(value)
+                entries(inner if type(inner) is list else [], path + "[]")
+
+    def entries(values: list, path: str) -> None:
+        for entry in values:
+            if type(entry) is dict:
+                node(entry, path + ".")
+            elif type(entry) is list:
+                entries(entry, path + "[]")
+
+    node(record, "")
+    return found
+
+
 def unknown_fields(lines: DataFrame, expected: dict[str, list[str]]) -> DataFrame:
-    """Top-level keys outside ``expected`` of each report type: record_id, report_type, field_path, observed_type, sample."""
-    objects = parsed(lines).where("line_error IS NULL")
-    keys = objects.select("record_id", "report_type", "raw_json", F.explode(F.json_object_keys("raw_json")).alias("field_path")).distinct()
-    known = F.lit(False)
-    for report, names in expected.items():
-        known = known | ((F.col("report_type") == report) & F.col("field_path").isin(names))
-    extra = keys.where(~known & F.col("report_type").isin(list(expected)))
-    value = F.expr("from_json(raw_json, 'map<string,variant>')[field_path]")
-    typed = extra.withColumn("_v", value)
-    s = F.expr("schema_of_variant(_v)")
-    names = (
-        F.when(s.startswith("OBJECT"), "object").when(s.startswith("ARRAY"), "array").when(s == "STRING", "string")
-        .when(s == "BOOLEAN", "boolean").when(s == "VOID", "null").otherwise("number")
-    )
-    return typed.select("record_id", "report_type", "field_path", names.alias("observed_type"), F.substring(F.to_json("_v"), 1, 1000).alias("sample_value_json"))
+    """Keys outside ``expected`` (paths ``a``, ``a.b``, ``a[].b``) of each report type, of the line and of what is nested in it.
+
+    One row per line and path: record_id, report_type, field_path, observed_type,
+    sample. Reports that ``expected`` does not have are not judged.
+    """
+    known = {report: frozenset(paths) for report, paths in expected.items()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for record_id, report, raw in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                record = json_object(raw)
+                for path, value in stray_members(record, known[report]).items() if record is not None else ():
+                    sample = json.dumps(value, sort_keys=True, ensure_ascii=False, separators=(",", ":"))[:1000]
+                    rows.append((record_id, report, *(t.encode("utf-8", "replace").decode() for t in (path, _json_type(value), sample))))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["record_id", "report_type", "field_path", "observed_type", "sample_value_json"])
+
+    picked = lines.where(F.col("report_type").isin(list(expected))).select(F.col("record_id").cast("bigint"), "report_type", "raw_json")
+    return picked.mapInArrow(run, "record_id bigint, report_type string, field_path string, observed_type string, sample_value_json string")
 
 
 def duplicate_issues(rows: DataFrame, table: str, keys: list[str]) -> DataFrame:
