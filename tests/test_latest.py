@@ -71,6 +71,18 @@ def test_no_data_removes_rows_and_scope_days_without_a_manifest_stay(spark):
     assert sorted(r.x for r in latest.manifest_filter(df, m, "users").collect()) == ["y", "z"]
 
 
+def test_content_duplicates_need_the_whole_fingerprint(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    m = [("s", "users", "2031-03-01", i, t(h), status, f) for i, h, status, f in [
+        ("a", 1, "success", "9abc"), ("b", 2, "success", "9abd"), ("c", 3, "success", "9abc"), ("d", 4, "no_data", "9abc"), ("e", 5, "success", "9abc"),
+    ]]
+    schema = "scope_slug string, report_type string, report_day string, ingestion_id string, ingested_at timestamp, status string, content_fingerprint string"
+    spark.createDataFrame(m, schema).write.parquet(f"{tmp_path}/bronze_manifests.parquet")
+    got = entry.queries()["content_duplicates"](spark, str(tmp_path)).collect()
+    assert {(r.ingestion_id, r.original_id) for r in got} == {("c", "a"), ("e", "a")} and len(got) == 2
+
+
 def test_empty_tables_give_empty_results(spark):
     df = rows(spark, ("s", "d", "a", t(1), 1, 1, "x")).limit(0)
     assert latest.latest_deliveries(df).count() == latest.snapshot_rows(df).count() == latest.winning_rows(df, ["k"]).count() == 0

@@ -178,8 +178,7 @@ def manifest_filter(spark, d):
 
 
 def content_duplicates(spark, d):
-    m = table(spark, d, MANIFESTS).withColumn("content_fingerprint", F.substring("content_fingerprint", 1, 1))
-    return latest.content_duplicates(m).select("ingestion_id", "original_id")
+    return latest.content_duplicates(table(spark, d, MANIFESTS)).select("ingestion_id", "original_id")
 
 
 def _orders(spark, d):
