@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import profile
 
@@ -76,3 +77,15 @@ def test_empty_and_odd_rows(spark):
     odd = spark.createDataFrame([(None, None, None, None, None, "", 0, ""), ("s", "a", "soon", float("-inf"), float("nan"), "", 0, ""), ("s", "a", None, 5e-324, 1.0, "", 0, "")], SCHEMA)
     assert broken(odd) == []
     assert {r.row_count for r in profile.profiles(profile.profile_states(odd, "t", [profile.ColumnCheck("x", "y")])).collect()} == {1, 2}
+
+
+def test_the_registered_profile_is_whole(spark, data):
+    import __spark_entry__ as entry
+
+    got = entry.queries()["p1_judged"](spark, data).where("column_name = 'loc_added_sum'").collect()
+    users = spark.read.parquet(f"{data}/copilot_users_1_day.parquet").groupBy("source_ingestion_id")
+    exact = {r[0]: r[1] for r in users.agg(F.countDistinct("loc_added_sum")).collect()}
+    assert {r.source_ingestion_id for r in got} == set(exact) and any(r.correlation is not None for r in got)
+    assert all(abs(r.distinct_values - exact[r.source_ingestion_id]) <= 2 and r.excess is not None and r.excess_sigma is not None for r in got)
+    found = {tuple(r) for r in entry.queries()["p1_found"](spark, data).collect()}
+    assert {("copilot_users_1_day", "loc_added_sum", r.source_ingestion_id) for r in got if r.broken} == {f for f in found if f[1] == "loc_added_sum"}

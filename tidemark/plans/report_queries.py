@@ -37,6 +37,16 @@ def p1_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.profiles(_states(spark, sf_dir)).select(*keys, F.col("least").alias("least_value"), F.col("greatest").alias("greatest_value"))
 
 
+def p1_judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole profile: that of p1_profile with distinct values, agreement with the companion, change against the other deliveries and limits."""
+    states = materialized(_states(spark, sf_dir, distinct=True))
+    limits = [f"{v}{s}" for v in ("excess", "correlation", "violation_share") for s in ("", "_center", "_sigma")]
+    keys = ("table_name", "column_name", "scope_slug", "source_ingestion_id", "day", "row_count", "null_count", "nan_count", "zero_count", "negative_count", "violations")
+    return profile.judged(states).select(
+        *keys, F.col("least").alias("least_value"), F.col("greatest").alias("greatest_value"), "distinct_values", *limits, "peers", "broken"
+    )
+
+
 def p2_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hashruns.merged_counts(hashruns.usage_blocks(table(spark, sf_dir, USERS), table(spark, sf_dir, TEAMS)))
 
@@ -128,6 +138,7 @@ def p7_trailing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found,
     "p1_profile": p1_profile,
+    "p1_judged": p1_judged,
     "p2_distinct": p2_distinct,
     "p3_found": p3_found,
     "p4_found": p4_found,
