@@ -29,7 +29,9 @@ def test_contracts_are_complete_and_bind(spark):
     assert len(contracts.SILVER) == 25 and len(contracts.GOLD) == 10
     assert all(set(c.key) <= set(c.names) for c in [*contracts.SILVER.values(), *contracts.GOLD.values()])
     assert len(contracts.COUNTERS) == 32 and len(contracts.PULL_REQUESTS) == 14
-    c = contracts.Contract("t", (("k", "long", False), ("d", "date", True), ("x", "double", True)), ("k",))
+    c = contracts.Contract("t", contracts.fields("k bigint NOT NULL\n d date\n x double"), ("k",))
+    lineage = {f.name: f.nullable for f in contracts.SILVER["user_daily"].columns}
+    assert [lineage[n] for n in ("source_ingestion_id", "source_ingested_at", "source_path", "source_record_hash")] == [True, True, True, False]
     df = spark.createDataFrame([("1", "2031-03-01", "extra"), ("2", "no date", "")], "k string, d string, other string")
     bound = c.bind(df)
     assert [tuple(r) for r in bound.collect()] == [(1, day(1), None), (2, None, None)]

@@ -62,12 +62,19 @@ def winning_values(rows: DataFrame, keys: list[str], value: Column, name: str, l
     ).select(*keys, F.col("_win.v").alias(name))
 
 
-def winning_rows(df: DataFrame, keys: list[str], rank: list[str] | None = None) -> DataFrame:
-    """Whole rows that win among those with equal ``keys``: the greatest by ``rank`` (default ``source_line``), nulls last."""
-    order = [F.col(c).desc_nulls_last() for c in (rank or ["source_line"])]
-    ties = F.xxhash64(*[c for c in df.columns if df.schema[c].dataType.typeName() != "map"])
-    newest = Window.partitionBy(*keys).orderBy(*order, ties)
-    return df.withColumn("__rank", F.row_number().over(newest)).where("__rank = 1").drop("__rank")
+def winning_rows(df: DataFrame, keys: list[str], rank: list[str] | None = None, columns: list[str] | None = None) -> DataFrame:
+    """The rows that win among those with equal ``keys``: the greatest by ``rank`` (default ``source_line``), nulls least.
+
+    ``columns`` are those wanted besides the keys (default: all); nothing else is
+    read or shuffled. ``max`` combines map-side, so a key that holds a large part
+    of the rows reaches the reducers as one row per task. Rows that share a rank
+    are told apart by the greater remaining values.
+    """
+    wanted = [c for c in (columns or df.columns) if c not in keys]
+    rest = [F.struct(*wanted).alias("row")] if wanted else []
+    whole = F.max(F.struct(*[F.col(c).alias(f"r{k}") for k, c in enumerate(rank or ["source_line"])], *rest)).alias("_win")
+    kept = [c for c in df.columns if c in keys or c in wanted]
+    return df.groupBy(*keys).agg(whole).select(*[c if c in keys else F.col(f"_win.row.{c}").alias(c) for c in kept])
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -90,22 +90,6 @@ def feature_usage_daily(spark, d):
     return out(adoption.dimension_usage(feature_rows(spark, d), "feature"))
 
 
-def _line_rows(spark, d, field):
-    """Child rows of raw lines with the scope, day and user of their record."""
-    checked = silver.validated(_lines(spark, d), "users")
-    rows = silver.child_rows(silver.nested_entries(checked, field), field)
-    about = checked.select("record_id", F.lit("organization").alias("scope_kind"), "scope_slug", iso_date("report_day").alias("day"), F.expr("try_variant_get(v, '$.user_id', 'bigint')").alias("user_id"))
-    return rows.join(about, "record_id").withColumn("ai_credits_used", F.lit(None).cast("double"))
-
-
-def language_usage_daily(spark, d):
-    return out(adoption.dimension_usage(_line_rows(spark, d, "totals_by_language_feature"), "language"))
-
-
-def ide_usage_daily(spark, d):
-    return out(adoption.dimension_usage(_line_rows(spark, d, "totals_by_ide"), "ide"))
-
-
 def user_adoption_daily(spark, d):
     return out(adoption.user_adoption(user_daily(spark, d)))
 
@@ -210,66 +194,6 @@ def window_coalesce(spark, d):
     return out(windows.coalesce_ranges(ranges, ["scope_slug", "report_type"]))
 
 
-def validation_users(spark, d):
-    return silver.validated(_lines(spark, d), "users").where(F.size("reasons") > 0).select("record_id", F.array_join("reasons", ",").alias("reasons"))
-
-
-def validation_repositories(spark, d):
-    return silver.validated(_lines(spark, d), "repositories").where(F.size("reasons") > 0).select("record_id", F.array_join("reasons", ",").alias("reasons"))
-
-
-def quarantine_rows(spark, d):
-    lines = _lines(spark, d)
-    both = silver.quarantine(silver.validated(lines, "users")).unionByName(silver.quarantine(silver.validated(lines, "repositories")))
-    return both.groupBy("report_type", "reason_codes_json").agg(F.count(F.lit(1)).alias("lines"), F.min("source_record_hash").alias("least_hash"))
-
-
-def user_rows(spark, d):
-    picked = ["record_id", "day", "user_id", "user_login", "adoption_phase", "adoption_phase_number", "ai_credits_used", *COUNTERS[1:8], "used_chat", "used_cli"]
-    return silver.user_rows(silver.validated(_lines(spark, d), "users")).select(*picked)
-
-
-def _entries(spark, d, field):
-    return silver.nested_entries(silver.validated(_lines(spark, d), "users"), field)
-
-
-def nested_features(spark, d):
-    return silver.child_rows(_entries(spark, d, "totals_by_feature"), "totals_by_feature").select("record_id", "position", "feature", "code_generation_activity_count", "code_acceptance_activity_count")
-
-
-def nested_commands(spark, d):
-    return silver.child_rows(_entries(spark, d, "totals_by_slash_cmd"), "totals_by_slash_cmd").select("record_id", "position", "slash_command", "interaction_count")
-
-
-def nested_quarantine(spark, d):
-    return _entries(spark, d, "totals_by_feature").where(F.size("entry_reasons") > 0).select("record_id", "position", F.array_join("entry_reasons", ",").alias("reasons"))
-
-
-def version_flatten(spark, d):
-    return silver.ide_versions(_entries(spark, d, "totals_by_ide")).select("record_id", "position", "ide", "ide_version")
-
-
-def cli_rows(spark, d):
-    rows = silver.object_children(silver.validated(_lines(spark, d), "users"), "totals_by_cli")
-    return rows.select("record_id", F.array_join("object_reasons", ",").alias("reasons"), "prompt_count", "session_count", *silver.TOKEN_SUMS)
-
-
-def comment_types(spark, d):
-    return silver.comment_types(silver.validated(_lines(spark, d), "repositories"))
-
-
-def review_times(spark, d):
-    return silver.review_times(silver.validated(_lines(spark, d), "repositories"))
-
-
-def engaged_features(spark, d):
-    return silver.engaged_features(_lines(spark, d)).select("record_id", "day", "position", "feature", "engaged_user_count")
-
-
-def entity_days(spark, d):
-    return silver.entity_days(_lines(spark, d)).select("record_id", "position", "day", "organization_id", "daily_active_users")
-
-
 def unknown_fields(spark, d):
     contract = table(spark, d, "report_field_contracts").groupBy("report_type").agg(F.sort_array(F.collect_list("field_path")).alias("names"))
     expected = {r["report_type"]: r["names"] for r in contract.collect()}  # a fixed table of 60 rows
@@ -333,11 +257,10 @@ def _fresh(spark, d):
 QUERIES = {
     f.__name__: f
     for f in [
-        entity_adoption_daily, entity_fallback_reported, team_adoption_daily, repository_impact_daily, feature_usage_daily, language_usage_daily,
-        ide_usage_daily, user_adoption_daily, user_adoption_current, rolling_entity, rolling_team, rolling_primary_team, data_freshness_daily,
+        entity_adoption_daily, entity_fallback_reported, team_adoption_daily, repository_impact_daily, feature_usage_daily,
+        user_adoption_daily, user_adoption_current, rolling_entity, rolling_team, rolling_primary_team, data_freshness_daily,
         latest_wins_dedup, correction_counts, duplicate_issues, latest_manifest, snapshot_filter, manifest_filter, content_duplicates, upsert_merge,
-        bounded_replacement, containment_violations, window_coalesce, validation_users, validation_repositories, quarantine_rows, user_rows,
-        nested_features, nested_commands, nested_quarantine, version_flatten, cli_rows, comment_types, review_times, engaged_features, entity_days, unknown_fields, calendar_dimension, report_calendar,
+        bounded_replacement, containment_violations, window_coalesce, unknown_fields, calendar_dimension, report_calendar,
         audit_completed, stream_daily_events,
     ]
 } | {
@@ -426,128 +349,6 @@ _FRESH = f"""{_UD}, {_NEWEST},
    strftime(coalesce(ingested_at, CASE WHEN availability_status = 'complete' THEN newest END), '%Y-%m-%d %H:%M:%S.%f') AS latest_source_ingested_at,
    CASE WHEN availability_status = 'complete' THEN coalesce(sparse, 0) ELSE 0 END::BIGINT AS sparse_metric_count FROM st)"""
 
-# ---- oracles of the checks on raw lines
-
-_LINE = f"FROM {LINES} WHERE report_type = '{{}}' AND trim(raw_json) <> ''"
-
-
-def _t(path: str) -> str:
-    return f"json_type(j, '$.{path}')"
-
-
-def _bad_number(path: str, code: str, whole: bool) -> str:
-    kinds = "('BIGINT', 'UBIGINT')" if whole else "('BIGINT', 'UBIGINT', 'DOUBLE', 'HUGEINT')"
-    return f"CASE WHEN coalesce({_t(path)}, 'NULL') <> 'NULL' AND NOT ({_t(path)} IN {kinds} AND try_cast(json_extract_string(j, '$.{path}') AS DOUBLE) >= 0) THEN '{code}' END"
-
-
-def _is_whole(path: str) -> str:
-    return f"coalesce({_t(path)} IN ('BIGINT', 'UBIGINT') AND try_cast(json_extract_string(j, '$.{path}') AS BIGINT) >= 0, false)"
-
-
-def _not_kind(path: str, kind: str, code: str) -> str:
-    return f"CASE WHEN coalesce({_t(path)}, 'NULL') NOT IN ('NULL', '{kind}') THEN '{code}' END"
-
-
-def _above(a: str, b: str, code: str) -> str:
-    return f"CASE WHEN {_is_whole(a)} AND {_is_whole(b)} AND try_cast(json_extract_string(j, '$.{a}') AS BIGINT) > try_cast(json_extract_string(j, '$.{b}') AS BIGINT) THEN '{code}' END"
-
-
-_DAY_OK = f"coalesce({_t('day')} = 'VARCHAR' AND regexp_full_match(json_extract_string(j, '$.day'), '\\d{{4}}-\\d{{2}}-\\d{{2}}') AND try_cast(json_extract_string(j, '$.day') AS DATE) IS NOT NULL, false)"
-_DAY_SQL = [
-    f"CASE WHEN NOT {_DAY_OK} THEN 'day_must_be_iso_date' END",
-    f"CASE WHEN {_DAY_OK} AND json_extract_string(j, '$.day') <> report_day THEN 'day_does_not_match_partition' END",
-]
-_P = "pull_requests"
-_PR_SQL = [
-    _not_kind(_P, "OBJECT", f"{_P}_must_be_object"),
-    *[_bad_number(f"{_P}.{c}", f"{_P}.{c}_must_be_nonnegative_number", not c.startswith("median_")) for c in PULL_REQUESTS],
-    *[_above(f"{_P}.{c}", f"{_P}.{t}", f"{_P}.{c}_exceeds_{t}") for c, t in CHILD_OF.items()],
-]
-_A = "ai_adoption_phase"
-_USER_SQL = [
-    *_DAY_SQL,
-    *[_bad_number(c, f"{c}_must_be_nonnegative_number", c != "ai_credits_used") for c in COUNTERS],
-    *[_not_kind(c, "BOOLEAN", f"{c}_must_be_boolean_or_null") for c in FLAGS],
-    f"CASE WHEN NOT {_is_whole('user_id')} THEN 'user_id_must_be_nonnegative_integer' END",
-    _not_kind("user_login", "VARCHAR", "user_login_must_be_string"),
-    _above("code_acceptance_activity_count", "code_generation_activity_count", "code_acceptance_count_exceeds_generation_count"),
-    _not_kind(_A, "OBJECT", f"{_A}_must_be_object"),
-    f"CASE WHEN coalesce({_t(_A + '.phase_number')}, 'NULL') <> 'NULL' AND NOT {_is_whole(_A + '.phase_number')} THEN '{_A}.phase_number_must_be_nonnegative_integer' END",
-    *[_not_kind(f"{_A}.{m}", "VARCHAR", f"{_A}.{m}_must_be_string") for m in ("phase", "name", "version")],
-    *_PR_SQL,
-]
-_REPO_SQL = [
-    *_DAY_SQL,
-    f"CASE WHEN NOT {_is_whole('repo_id')} THEN 'repo_id_must_be_nonnegative_integer' END",
-    *[_not_kind(c, "VARCHAR", f"{c}_must_be_string") for c in ("repo_owner_name", "repo_name", "repo_visibility")],
-    f"CASE WHEN coalesce({_t('organization_id')}, '') <> 'VARCHAR' THEN 'organization_id_is_required_for_repository' END",
-    *_PR_SQL,
-]
-
-
-def _checked(report: str, codes: list[str]) -> str:
-    """CTE body: lines with ``j`` (null unless an object) and the list ``reasons``."""
-    return f"""SELECT *, CASE WHEN NOT json_valid(raw_json) THEN ['invalid_json'] WHEN j IS NULL THEN ['record_must_be_object']
-      ELSE list_sort(list_distinct([x FOR x IN [{', '.join(codes)}] IF x IS NOT NULL])) END AS reasons
-    FROM (SELECT *, CASE WHEN json_valid(raw_json) THEN CASE WHEN json_type(raw_json) = 'OBJECT' THEN raw_json::JSON END END AS j {_LINE.format(report)})"""
-
-
-_CU, _CR = f"cu AS ({_checked('users', _USER_SQL)})", f"cr AS ({_checked('repositories', _REPO_SQL)})"
-
-
-def _text(path: str, j: str = "j") -> str:
-    return f"nullif(regexp_replace(CASE WHEN json_type({j}, '$.{path}') = 'VARCHAR' THEN json_extract_string({j}, '$.{path}') END, '^\\s+|\\s+$', '', 'g'), '')"
-
-
-def _entries_sql(field: str) -> str:
-    _, dims = ARRAYS[field]
-    whole = lambda m: f"coalesce(json_type(e, '$.{m}') IN ('BIGINT', 'UBIGINT') AND try_cast(json_extract_string(e, '$.{m}') AS BIGINT) >= 0, false)"
-    is_object = "coalesce(json_type(e) = 'OBJECT', false)"
-    named = [f"CASE WHEN {is_object} AND {_text(SOURCE_NAMES.get(d, d), 'e')} IS NULL THEN '{SOURCE_NAMES.get(d, d)}_is_required' END" for d in dims]
-    numbers = [f"CASE WHEN {is_object} AND coalesce(json_type(e, '$.{m}'), 'NULL') <> 'NULL' AND NOT {whole(m)} THEN '{m}_must_be_nonnegative_number' END" for m in BREAKDOWN]
-    codes = ", ".join([f"CASE WHEN NOT {is_object} THEN 'nested_entry_must_be_object' END", *named, *numbers])
-    return f"""en AS (SELECT *, list_sort(list_distinct([x FOR x IN [{codes}] IF x IS NOT NULL])) AS entry_reasons FROM (
-      SELECT record_id, scope_slug, report_day, json_extract(j, '$.user_id')::BIGINT AS user_id, unnest(json_extract(j, '$.{field}[*]')) AS e,
-        CAST(generate_subscripts(json_extract(j, '$.{field}[*]'), 1) - 1 AS INTEGER) AS position
-      FROM cu WHERE len(reasons) = 0 AND json_type(j, '$.{field}') = 'ARRAY' AND json_array_length(j, '$.{field}') > 0))"""
-
-
-def _int(member: str) -> str:
-    return f"try_cast(json_extract_string(e, '$.{member}') AS BIGINT)"
-
-
-def _line_usage_sql(field: str, dimension: str) -> str:
-    names = {m: f"{_int(m)} AS {m}" for m in BREAKDOWN}
-    return f"""WITH {_CU}, {_entries_sql(field)},
-     r0 AS (SELECT 'organization' AS scope_kind, scope_slug, CAST(report_day AS DATE) AS day, user_id, {_text(dimension, 'e')} AS {dimension}, {', '.join(names.values())}, NULL::DOUBLE AS ai_credits_used
-       FROM en WHERE len(entry_reasons) = 0),
-     r AS (SELECT *, {_ENGAGED} AS engaged, {_ENGAGED} AS active FROM r0)
-    SELECT scope_kind, scope_slug, {_DAY}, {_KEY}, {dimension}, {_COUNTED} {_SUMS} FROM r GROUP BY scope_kind, scope_slug, r.day, {dimension}"""
-
-
-def _unnested(source: str, path: str, where: str = "true") -> str:
-    at = f"json_extract(j, '$.{path}[*]')"
-    return f"""SELECT record_id, j, unnest({at}) AS e, CAST(generate_subscripts({at}, 1) - 1 AS INTEGER) AS position FROM {source}
-      WHERE {where} AND json_type(j, '$.{path}') = 'ARRAY' AND json_array_length(j, '$.{path}') > 0"""
-
-
-def _parts_sql(source: str, path: str, names: list[str], totals: list[str]) -> str:
-    bad = [f"(coalesce(json_type(e, '$.{t}'), 'NULL') <> 'NULL' AND NOT coalesce(json_type(e, '$.{t}') IN ('BIGINT', 'UBIGINT') AND {_int(t)} >= 0, false))" for t in totals]
-    return f"""WITH {_CR}, en AS ({_unnested(source, path, 'len(reasons) = 0')}) SELECT record_id, position, {', '.join(f"{_text(n, 'e')} AS {n}" for n in names)},
-      {', '.join(f"{_int(t)} AS {t}" for t in totals)} FROM en
-      WHERE json_type(e) = 'OBJECT' AND {' AND '.join(f"{_text(n, 'e')} IS NOT NULL" for n in names)} AND NOT ({' OR '.join(bad)})"""
-
-
-_CLI = "totals_by_cli"
-_CLI_SQL = [
-    _not_kind(_CLI, "OBJECT", f"{_CLI}_must_be_object"),
-    *[_bad_number(f"{_CLI}.{c}", f"{c}_must_be_nonnegative_integer", True) for c in silver.OBJECT_COUNTS],
-    _not_kind(f"{_CLI}.token_usage", "OBJECT", "token_usage_must_be_object"),
-    *[_bad_number(f"{_CLI}.token_usage.{c}", f"token_usage.{c}_must_be_nonnegative_number", True) for c in silver.TOKEN_SUMS],
-    _bad_number(f"{_CLI}.token_usage.avg_tokens_per_request", "token_usage.avg_tokens_per_request_must_be_nonnegative_number", False),
-    _not_kind(f"{_CLI}.last_known_cli_version", "OBJECT", "last_known_cli_version_must_be_object"),
-]
-
 _ORDERS = "o AS (SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_orderdate AS DATE) AS day, o_totalprice FROM orders)"
 _ORDER_CHANGES = "s AS (SELECT o_orderkey, o_custkey, 'X' AS o_orderstatus, day, o_totalprice FROM o WHERE o_custkey % 5 = 0 AND year(day) = 1995 AND o_orderkey % 3 <> 0)"
 _ORDER_OUT = "o_orderkey, o_custkey, o_orderstatus, strftime(day, '%Y-%m-%d') AS day, o_totalprice"
@@ -579,8 +380,6 @@ ORACLE_SQL = {
     "team_adoption_daily": f"WITH {_UD}, {_MEM}, {_PRIM}, {_TEAM} SELECT * EXCLUDE (day), {_DAY}, {_KEY} FROM team",
     "repository_impact_daily": _REPO,
     "feature_usage_daily": f"WITH {_UD}, {_FEATURE_ROWS} {_FEATURE}",
-    "language_usage_daily": _line_usage_sql("totals_by_language_feature", "language"),
-    "ide_usage_daily": _line_usage_sql("totals_by_ide", "ide"),
     "user_adoption_daily": f"""WITH {_UD} SELECT scope_kind, scope_slug, {_DAY}, {_KEY}, user_id, user_login,
       CASE WHEN engaged THEN 'engaged' WHEN active THEN 'active' ELSE 'inactive' END AS adoption_status, adoption_phase, {_SUMS} FROM ud
       GROUP BY scope_kind, scope_slug, ud.day, user_id, user_login, engaged, active, adoption_phase""",
@@ -617,41 +416,6 @@ ORACLE_SQL = {
         FROM {MANIFESTS} WHERE status = 'success'),
       g AS (SELECT *, day - row_number() OVER (PARTITION BY scope_slug, report_type ORDER BY day)::INTEGER AS island FROM d)
       SELECT scope_slug, report_type, strftime(min(day), '%Y-%m-%d') AS start_day, strftime(max(day), '%Y-%m-%d') AS end_day FROM g GROUP BY scope_slug, report_type, island""",
-    "validation_users": f"WITH {_CU} SELECT record_id, array_to_string(reasons, ',') AS reasons FROM cu WHERE len(reasons) > 0",
-    "validation_repositories": f"WITH {_CR} SELECT record_id, array_to_string(reasons, ',') AS reasons FROM cr WHERE len(reasons) > 0",
-    "quarantine_rows": f"""WITH {_CU}, {_CR} SELECT report_type, to_json(reasons)::VARCHAR AS reason_codes_json, count(*) AS lines, min(sha256(raw_json)) AS least_hash
-      FROM (SELECT report_type, reasons, raw_json FROM cu UNION ALL SELECT report_type, reasons, raw_json FROM cr) WHERE len(reasons) > 0 GROUP BY ALL""",
-    "user_rows": f"""WITH {_CU} SELECT record_id, report_day AS day, json_extract(j, '$.user_id')::BIGINT AS user_id, {_text('user_login')} AS user_login,
-      coalesce({_text(_A + '.phase')}, CASE WHEN {_t(_A + '.phase')} IS NULL THEN {_text(_A + '.name')} END) AS adoption_phase,
-      try_cast(json_extract_string(j, '$.{_A}.phase_number') AS BIGINT) AS adoption_phase_number, try_cast(json_extract_string(j, '$.ai_credits_used') AS DOUBLE) AS ai_credits_used,
-      {', '.join(f"try_cast(json_extract_string(j, '$.{c}') AS BIGINT) AS {c}" for c in COUNTERS[1:8])},
-      try_cast(json_extract_string(j, '$.used_chat') AS BOOLEAN) AS used_chat, try_cast(json_extract_string(j, '$.used_cli') AS BOOLEAN) AS used_cli FROM cu WHERE len(reasons) = 0""",
-    "nested_features": f"""WITH {_CU}, {_entries_sql('totals_by_feature')} SELECT record_id, position, {_text('feature', 'e')} AS feature,
-      {_int('code_generation_activity_count')} AS code_generation_activity_count, {_int('code_acceptance_activity_count')} AS code_acceptance_activity_count FROM en WHERE len(entry_reasons) = 0""",
-    "nested_commands": f"""WITH {_CU}, {_entries_sql('totals_by_slash_cmd')} SELECT record_id, position, {_text('slash_cmd', 'e')} AS slash_command,
-      {_int('interaction_count')} AS interaction_count FROM en WHERE len(entry_reasons) = 0""",
-    "nested_quarantine": f"""WITH {_CU}, {_entries_sql('totals_by_feature')} SELECT record_id, position, array_to_string(entry_reasons, ',') AS reasons FROM en WHERE len(entry_reasons) > 0
-      UNION ALL SELECT record_id, -1, 'totals_by_feature_must_be_array' FROM cu WHERE len(reasons) = 0 AND coalesce({_t('totals_by_feature')}, 'NULL') NOT IN ('NULL', 'ARRAY')""",
-    "version_flatten": f"""WITH {_CU}, {_entries_sql('totals_by_ide')} SELECT record_id, position, {_text('ide', 'e')} AS ide,
-      coalesce({_text('last_known_ide_version.ide_version', 'e')}, {_text('last_known_ide_version', 'e')}) AS ide_version FROM en WHERE len(entry_reasons) = 0""",
-    "cli_rows": f"""WITH {_CU} SELECT record_id, array_to_string(list_sort([x FOR x IN [{", ".join(_CLI_SQL)}] IF x IS NOT NULL]), ',') AS reasons,
-      {', '.join(f"try_cast(json_extract_string(j, '$.totals_by_cli.{c}') AS BIGINT) AS {c}" for c in ("prompt_count", "session_count"))},
-      {', '.join(f"try_cast(json_extract_string(j, '$.totals_by_cli.token_usage.{c}') AS BIGINT) AS {c}" for c in silver.TOKEN_SUMS)}
-      FROM cu WHERE len(reasons) = 0 AND coalesce({_t('totals_by_cli')}, 'NULL') <> 'NULL'""",
-    "comment_types": _parts_sql(
-        "cr", f"{_P}.copilot_suggestions_by_comment_type", ["comment_type"], ["total_copilot_suggestions", "total_copilot_applied_suggestions"]
-    ),
-    "review_times": _parts_sql("cr", "pull_request_review_times", ["authored_by", "reviewed_by"], ["total_merged"]),
-    "engaged_features": f"""WITH ok AS (SELECT record_id, raw_json::JSON AS j {_LINE.format('entity')} AND json_valid(raw_json) AND CASE WHEN json_valid(raw_json) THEN json_type(raw_json) = 'OBJECT' END),
-      en AS ({_unnested('ok', 'copilot_feature_engagement.totals_by_feature')})
-      SELECT record_id, {_text('report_end_day')} AS day, position, {_text('feature', 'e')} AS feature,
-        CASE WHEN json_type(e, '$.engaged_user_count') IN ('BIGINT', 'UBIGINT') THEN {_int('engaged_user_count')} END AS engaged_user_count
-      FROM en WHERE json_type(e) = 'OBJECT' AND {_text('feature', 'e')} IS NOT NULL""",
-    "entity_days": f"""WITH ok AS (SELECT record_id, raw_json::JSON AS j {_LINE.format('entity')} AND json_valid(raw_json) AND CASE WHEN json_valid(raw_json) THEN json_type(raw_json) = 'OBJECT' END),
-      en AS (SELECT record_id, j, unnest(json_extract(j, '$.day_totals[*]')) AS e, CAST(generate_subscripts(json_extract(j, '$.day_totals[*]'), 1) - 1 AS INTEGER) AS position
-        FROM ok WHERE {_t('day_totals')} = 'ARRAY' AND json_array_length(j, '$.day_totals') > 0)
-      SELECT record_id, position, {_text('day', 'e')} AS day, coalesce({_text('organization_id', 'e')}, {_text('organization_id')}) AS organization_id,
-        CASE WHEN json_type(e, '$.daily_active_users') IN ('BIGINT', 'UBIGINT') THEN {_int('daily_active_users')} END AS daily_active_users FROM en WHERE json_type(e) = 'OBJECT'""",
     "unknown_fields": f"""WITH ok AS (SELECT record_id, report_type, raw_json::JSON AS j FROM {LINES} WHERE json_valid(raw_json) AND CASE WHEN json_valid(raw_json) THEN json_type(raw_json) = 'OBJECT' END),
       ks AS (SELECT DISTINCT record_id, report_type, j, unnest(json_keys(j)) AS field_path FROM ok)
       SELECT record_id, report_type, field_path, CASE json_type(j, '$."' || field_path || '"') WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' WHEN 'VARCHAR' THEN 'string'
