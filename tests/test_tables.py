@@ -78,6 +78,7 @@ def test_reported_figures_stand_in_where_users_are_missing(spark):
 def test_rolling_counts_distinct_users_of_the_window(spark):
     df = users(spark, (1, 1, 1, 0, None), (2, 1, 1, 0, None), (2, 2, 1, 0, None), (9, 3, 0, 0, None))
     got = {(r.day, r.window_days): r.distinct_active_users for r in adoption.rolling_entity(df).collect()}
+    assert {(r.dimension_name, r.allocation_method, r.is_additive) for r in adoption.rolling_entity(df).collect()} == {("s", "entity", True)}
     assert got == {(day(1), 7): 1, (day(1), 28): 1, (day(2), 7): 2, (day(2), 28): 2, (day(9), 7): 0, (day(9), 28): 2}
     assert adoption.rolling_entity(df.limit(0)).count() == 0
 
@@ -106,6 +107,9 @@ def test_freshness(spark):
     got = {r.day.day: r for r in adoption.freshness(observed, statuses, calendar, day(6)).collect()}
     assert [got[d].availability_status for d in range(1, 7)] == ["no_data", "complete", "complete", "within_lag", "within_lag", "within_lag"]
     assert [got[d].days_late for d in range(1, 7)] == [3, 2, 1, 0, 0, 0]
+    assert [got[d].is_within_telemetry_lag for d in range(1, 7)] == [False, False, False, True, True, True]
+    arrived = adoption.freshness(observed, statuses, calendar, day(3)).where(F.col("day") == day(3)).first()
+    assert (arrived.availability_status, arrived.is_within_telemetry_lag) == ("complete", True)
     assert got[1].sparse_metric_count == 0 and got[3].sparse_metric_count == 2 and got[3].latest_source_ingested_at == "y"
 
 
@@ -149,6 +153,39 @@ def test_table_versions(spark, tmp_path):
     assert t.read().count() == 3
 
 
+def test_changes_rewrite_only_the_partitions_they_touch(spark, tmp_path):
+    t = store.Table(spark, str(tmp_path / "t"), ("day",))
+    t.write(spark.createDataFrame([(1, day(1), "a"), (2, day(2), "b"), (3, None, "c")], ROW))
+    before = t._manifest(t.version())["parts"]
+    assert set(before) == {"day=2031-03-01", "day=2031-03-02", "day=__HIVE_DEFAULT_PARTITION__"}
+    t.upsert(spark.createDataFrame([(1, day(1), "new"), (9, day(1), "more")], ROW), ["day", "k"])
+    after = t._manifest(t.version())["parts"]
+    assert {p for p in after if after[p] != before[p]} == {"day=2031-03-01"}
+    t.append(spark.createDataFrame([(5, day(2), "e")], ROW))
+    assert [len(v) for v in t._manifest(t.version())["parts"].values()].count(2) == 1
+    assert t.schema().simpleString() == "struct<k:int,day:date,x:string>"
+    rows = sorted((r.k, str(r.day), r.x) for r in t.read().collect())
+    assert rows == [(1, "2031-03-01", "new"), (2, "2031-03-02", "b"), (3, "None", "c"), (5, "2031-03-02", "e"), (9, "2031-03-01", "more")]
+    t.replace(spark.createDataFrame([], ROW), ["day", "k"], F.col("day") == day(2))
+    assert sorted(r.k for r in t.read().collect()) == [1, 3, 9]
+    t.compact()
+    assert t.vacuum(keep=1) >= 2 and sorted(r.k for r in t.read().collect()) == [1, 3, 9]
+    with pytest.raises(ValueError, match="outside of the partitions"):
+        t.rewrite(["day=2031-03-01"], spark.createDataFrame([(1, day(7), "x")], ROW))
+
+
+def test_owned_tables_and_conflicts(spark, tmp_path):
+    t = store.Table(spark, str(tmp_path / "t"))
+    rows = spark.createDataFrame([(1, day(1), "a")], ROW)
+    t.write(rows, owner="demo")
+    t.write(rows, owner="demo")
+    with pytest.raises(PermissionError):
+        t.write(rows)
+    with pytest.raises(store.Conflict):
+        t._commit("another version", t._manifest(t.version()))
+    assert t.read().count() == 1
+
+
 def test_audit(spark):
     values = dict.fromkeys(store.AUDIT, "x") | {"status": "succeeded", "scope_slug": "s", "details_json": '{"start": "2031-03-01", "end": "2031-03-09"}'}
     row = store.audit_row(spark, **values)
@@ -184,7 +221,7 @@ def test_landing_commits_once_and_leaves_nothing_on_failure(spark, tmp_path):
 
 def test_stream_of_deliveries_ends_in_the_newest_and_can_be_repeated(spark, tmp_path):
     schema = "scope_slug string, day string, source_ingestion_id string, source_ingested_at timestamp, source_line bigint, k int, x string"
-    source, table = str(tmp_path / "in"), store.Table(spark, str(tmp_path / "out"))
+    source, table = str(tmp_path / "in"), store.Table(spark, str(tmp_path / "out"), ("scope_slug", "day"))
     for n, ident, rows in ((1, "a", [(1, "old"), (2, "old")]), (2, "b", [(1, "new")])):
         spark.createDataFrame([("s", "d", ident, datetime(2031, 3, n), 1, k, x) for k, x in rows], schema).coalesce(1).write.mode("append").parquet(source)
     for run in ("one", "two"):
@@ -200,3 +237,18 @@ def test_stream_of_users_per_window(spark, tmp_path):
     query = counts.writeStream.format("memory").queryName("users_per_day").outputMode("complete").trigger(availableNow=True).start()
     query.awaitTermination()
     assert [(r.users, r.rows) for r in spark.table("users_per_day").collect()] == [(3, 10)]
+
+
+def test_team_windows_carry_the_least_name_of_the_window(spark):
+    members = spark.createDataFrame([("organization", "s", day(1), 1, 10, "old"), ("organization", "s", day(9), 1, 10, "new"), ("organization", "s", day(9), 2, 10, "")], "scope_kind string, scope_slug string, day date, user_id bigint, team_id bigint, team_slug string")
+    df = users(spark, (1, 1, 1, 0, None), (9, 1, 1, 0, None), (9, 2, 1, 0, None), (20, 3, 0, 0, None))
+    got = {(r.day.day, r.window_days): (r.dimension_name, r.distinct_active_users) for r in adoption.rolling_team(df, members).collect()}
+    assert got == {(1, 7): ("old", 1), (1, 28): ("old", 1), (9, 7): ("new", 2), (9, 28): ("new", 2), (20, 28): ("new", 2)}
+
+
+def test_medians_that_are_no_number_come_out_null(spark):
+    from tidemark.contracts import PULL_REQUESTS
+
+    df = spark.range(1).select(F.lit("o").alias("scope_kind"), F.lit("s").alias("scope_slug"), F.lit(day(1)).alias("day"), F.col("id").alias("repo_id"), *[F.lit("x").alias(c) for c in ("repo_owner_name", "repo_name", "repo_visibility")],
+                               F.struct(*[F.lit(float("nan") if c.startswith("median") else 1).alias(c) for c in PULL_REQUESTS]).alias("pull_requests"))
+    assert adoption.repository_impact(df).first().median_minutes_to_merge is None

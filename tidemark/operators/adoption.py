@@ -12,8 +12,11 @@ from datetime import date
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.contracts import Contract
 from tidemark.functions.dates import day_key
 from tidemark.functions.metrics import ACTIVITY, USERS, activity_rates, activity_sums, is_active, is_engaged, ratio, status
+from tidemark.operators.latest import winning_rows
+from tidemark.session import lookup
 
 SCOPE = ["scope_kind", "scope_slug"]
 SCOPE_DAY = [*SCOPE, "day"]
@@ -87,29 +90,15 @@ def entity_adoption(users: DataFrame, entity: DataFrame | None = None) -> DataFr
     )
 
 
-def _team_rows(memberships: DataFrame, users: DataFrame, method: str) -> DataFrame:
-    members = memberships.select(*SCOPE_DAY, "user_id", "team_id", "team_slug")
-    usage = flagged(users).withColumn("_has_row", F.lit(True))
-    joined = members.join(usage.drop("user_login"), [*SCOPE_DAY, "user_id"], "left")
-    keys = [*SCOPE_DAY, "team_id"]
-    metrics = _users_and_sums(joined.where("_has_row"), keys)
-    about = members.groupBy(*keys, "user_id").agg(F.min("team_slug").alias("team_slug")).groupBy(*keys).agg(
-        F.min(F.nullif("team_slug", F.lit(""))).alias("team_slug"), F.count("user_id").alias("membership_count")
-    )
-    out = about.join(metrics, keys, "left")
-    return out.select(
-        *SCOPE_DAY, day_key(F.col("day")).alias("day_key"), "team_id", "team_slug",
-        *[F.coalesce(c, F.lit(0)).alias(c) for c in USERS], *ACTIVITY, "membership_count",
-        F.lit(method).alias("allocation_method"), F.lit(method == "primary_team").alias("is_additive"),
-    )
-
-
-def primary_memberships(memberships: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Memberships in each user's primary team.
+def with_primary(memberships: DataFrame, mapping: DataFrame | None) -> DataFrame:
+    """``memberships`` with ``is_primary``: whether the team is the user's primary one.
 
     ``mapping`` has user_id, team_id and optionally scope_kind and scope_slug; an
-    entry with the member's scope goes before one without.
+    entry with the member's scope goes before one without. Without a mapping no
+    team is primary.
     """
+    if mapping is None:
+        return memberships.withColumn("is_primary", F.lit(False))
     have = set(mapping.columns)
     scoped = mapping.where("scope_slug IS NOT NULL").select(*SCOPE, "user_id", F.col("team_id").alias("_scoped")) if "scope_slug" in have else None
     plain = (mapping.where("scope_slug IS NULL") if scoped is not None else mapping).select("user_id", F.col("team_id").alias("_plain"))
@@ -118,15 +107,40 @@ def primary_memberships(memberships: DataFrame, mapping: DataFrame) -> DataFrame
     if scoped is not None:
         out = out.join(scoped, [*SCOPE, "user_id"], "left")
         mapped = F.coalesce("_scoped", "_plain")
-    return out.where(F.col("team_id") == mapped).drop("_plain", "_scoped")
+    return out.withColumn("is_primary", F.coalesce(F.col("team_id") == mapped, F.lit(False))).drop("_plain", "_scoped")
 
 
 def team_adoption(memberships: DataFrame, users: DataFrame, mapping: DataFrame | None = None) -> DataFrame:
-    """Adoption per team and day by all memberships (not additive), and by primary team if a mapping is given (additive)."""
-    out = _team_rows(memberships, users, "all_memberships")
-    if mapping is None:
-        return out
-    return out.unionByName(_team_rows(primary_memberships(memberships, mapping), users, "primary_team"))
+    """Adoption per team and day by all memberships (not additive), and by primary team if a mapping is given (additive).
+
+    Members meet users once; both methods are folded from the same member rows.
+    """
+    members = with_primary(memberships.select(*SCOPE_DAY, "user_id", "team_id", "team_slug"), mapping)
+    usage = flagged(users).withColumn("_has_row", F.lit(True)).drop("user_login", "team_id", "team_slug", "is_primary")
+    keys = [*SCOPE_DAY, "team_id"]
+    names = [n for n in ACTIVITY if not n.endswith("_rate")]
+    per_user = members.join(usage, [*SCOPE_DAY, "user_id"], "left").groupBy(*keys, "user_id").agg(
+        F.min(F.nullif("team_slug", F.lit(""))).alias("team_slug"), F.max("is_primary").alias("is_primary"), F.max("_has_row").alias("_has_row"),
+        F.max("active").alias("active"), F.max("engaged").alias("engaged"), *activity_sums(),
+    )
+
+    def bundle(where, method: str):
+        counted = lambda c: F.count(F.when(where & F.col("user_id").isNotNull() & c, 1))
+        return F.struct(
+            F.min(F.when(where, F.col("team_slug"))).alias("team_slug"),
+            *[counted(F.col(f)).alias(n) for n, f in zip(USERS, ("_has_row", "active", "engaged"))],
+            *[F.sum(F.when(where, F.col(n))).alias(n) for n in names],
+            F.count(F.when(where, F.col("user_id"))).alias("membership_count"),
+            F.lit(method).alias("allocation_method"),
+            F.lit(method == "primary_team").alias("is_additive"),
+            F.count(F.when(where, 1)).alias("_rows"),
+        )
+
+    both = per_user.groupBy(*keys).agg(bundle(F.lit(True), "all_memberships").alias("a"), bundle(F.col("is_primary"), "primary_team").alias("p"))
+    each = both.select(*keys, F.inline(F.array("a", "p"))).where("_rows > 0")
+    return each.select("*", *activity_rates()).select(
+        *SCOPE_DAY, day_key(F.col("day")).alias("day_key"), "team_id", "team_slug", *USERS, *ACTIVITY, "membership_count", "allocation_method", "is_additive"
+    )
 
 
 def dimension_usage(rows: DataFrame, dimension: str) -> DataFrame:
@@ -136,8 +150,12 @@ def dimension_usage(rows: DataFrame, dimension: str) -> DataFrame:
 
 
 def repository_impact(repositories: DataFrame) -> DataFrame:
-    """Pull-request figures and rates of each repository and day; ``pull_requests`` is a struct."""
+    """Pull-request figures and rates of each repository and day; ``pull_requests`` is a struct.
+
+    A median that is NaN is no number of minutes and comes out as null.
+    """
     p = lambda name: F.col(f"pull_requests.{name}")
+    known = lambda c: F.when(~F.isnan(c), c)
     return repositories.select(
         *SCOPE_DAY, day_key(F.col("day")).alias("day_key"), "repo_id", "repo_owner_name", "repo_name", "repo_visibility",
         p("total_created").alias("pull_requests_created"), p("total_created_by_copilot").alias("pull_requests_created_by_copilot"),
@@ -146,7 +164,7 @@ def repository_impact(repositories: DataFrame) -> DataFrame:
         ratio(p("total_reviewed_by_copilot"), p("total_reviewed")).alias("copilot_reviewed_pr_rate"),
         p("total_suggestions").alias("suggestions"), p("total_applied_suggestions").alias("applied_suggestions"),
         ratio(p("total_applied_suggestions"), p("total_suggestions")).alias("suggestion_apply_rate"),
-        p("total_merged").alias("pull_requests_merged"), p("median_minutes_to_merge").alias("median_minutes_to_merge"),
+        p("total_merged").alias("pull_requests_merged"), known(p("median_minutes_to_merge")).alias("median_minutes_to_merge"),
     )
 
 
@@ -181,7 +199,7 @@ def user_current(users: DataFrame, lag_days: int = LAG_DAYS) -> DataFrame:
 
 
 def _rolling(active: DataFrame, emitted: DataFrame, keys: list[str], windows: tuple[int, ...]) -> DataFrame:
-    """Distinct users of the trailing ``windows`` for each emitted key and day.
+    """Distinct users of the trailing ``windows`` for each emitted key and day, with the least ``name`` of the window's rows.
 
     An active day makes its user count for the next ``w`` days, or until the
     user's next active day, which takes over. These spans do not overlap, so a
@@ -191,49 +209,63 @@ def _rolling(active: DataFrame, emitted: DataFrame, keys: list[str], windows: tu
     window. Repeated rows give spans of length 0, which cancel.
     """
     following = F.lead("day").over(Window.partitionBy(*keys, "user_id").orderBy("day"))
-    spans = active.select(*keys, "user_id", "day").withColumn("_next", following)
+    spans = active.select(*keys, "user_id", "day", "name").withColumn("_next", following)
+    none = F.lit(None).cast("string")
 
     def event(at, step: int, w: int):
-        return F.struct(at.alias("day"), *[F.lit(step if v == w else 0).alias(f"w{v}") for v in windows])
+        # only the row of the active day itself carries its name
+        return F.struct(at.alias("day"), *[F.lit(step if v == w else 0).alias(f"w{v}") for v in windows], (F.col("name") if step > 0 else none).alias("name"))
 
     events = []
     for w in windows:
         left = F.date_add("day", w)
         events += [event(F.col("day"), 1, w), event(F.least(left, F.coalesce("_next", left)), -1, w)]
-    steps = spans.select(*keys, F.inline(F.array(*events))).groupBy(*keys, "day").agg(*[F.sum(f"w{w}").alias(f"w{w}") for w in windows])
-    asked = emitted.select(*keys, "day", *[F.lit(0).cast("bigint").alias(f"w{w}") for w in windows], F.lit(True).alias("_asked"))
-    every = steps.withColumn("_asked", F.lit(False)).unionByName(asked).groupBy(*keys, "day").agg(
-        *[F.sum(f"w{w}").alias(f"w{w}") for w in windows], F.max("_asked").alias("_asked")
-    )
-    running = Window.partitionBy(*keys).orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
-    counts = every.select(*keys, "day", "_asked", *[F.sum(f"w{w}").over(running).alias(f"w{w}") for w in windows]).where("_asked")
-    each = F.inline(F.array(*[F.struct(F.lit(w).cast("bigint").alias("window_days"), F.col(f"w{w}").alias("distinct_active_users")) for w in windows]))
-    return counts.select(*keys, "day", each)
+    totals = [*[F.sum(f"w{w}").alias(f"w{w}") for w in windows], F.min("name").alias("name")]
+    steps = spans.select(*keys, F.inline(F.array(*events))).groupBy(*keys, "day").agg(*totals)
+    asked = emitted.select(*keys, "day", *[F.lit(0).cast("bigint").alias(f"w{w}") for w in windows], none.alias("name"), F.lit(True).alias("_asked"))
+    every = steps.withColumn("_asked", F.lit(False)).unionByName(asked).groupBy(*keys, "day").agg(*totals, F.max("_asked").alias("_asked"))
+    placed = every.withColumn("_n", F.datediff("day", F.lit("1970-01-01").cast("date")))
+    order = Window.partitionBy(*keys).orderBy("_n")
+    running = order.rowsBetween(Window.unboundedPreceding, 0)
+    each = F.array(*[
+        F.struct(F.lit(w).cast("bigint").alias("window_days"), F.sum(f"w{w}").over(running).alias("distinct_active_users"), F.min("name").over(order.rangeBetween(1 - w, 0)).alias("name"))
+        for w in windows
+    ])
+    return placed.select(*keys, "day", "_asked", each.alias("_each")).where("_asked").select(*keys, "day", F.inline("_each"))
 
 
 def rolling_entity(users: DataFrame, windows: tuple[int, ...] = WINDOWS) -> DataFrame:
     """Distinct active users of trailing windows for each scope and each day that has a user row; 0 where none was active."""
-    marked = flagged(users)
-    emitted = users.select(*SCOPE_DAY).distinct()
-    out = _rolling(marked.where("active AND user_id IS NOT NULL"), emitted, SCOPE, windows)
-    return out.select(*SCOPE_DAY, F.lit("entity").alias("dimension_type"), F.col("scope_slug").alias("dimension_id"), "window_days", "distinct_active_users")
+    marked = flagged(users).where("active AND user_id IS NOT NULL").withColumn("name", F.col("scope_slug"))
+    out = _rolling(marked, users.select(*SCOPE_DAY).distinct(), SCOPE, windows)
+    return out.select(
+        *SCOPE_DAY, day_key(F.col("day")).alias("day_key"), F.lit("entity").alias("dimension_type"), F.col("scope_slug").alias("dimension_id"), F.col("scope_slug").alias("dimension_name"),
+        "window_days", "distinct_active_users", F.lit("entity").alias("allocation_method"), F.lit(True).alias("is_additive"),
+    )
 
 
 def rolling_team(users: DataFrame, memberships: DataFrame, mapping: DataFrame | None = None, windows: tuple[int, ...] = WINDOWS) -> DataFrame:
     """The same per team, by the membership on the day of activity; a team has a row only where a member counts.
 
-    With ``mapping`` only primary memberships count.
+    With ``mapping`` only primary memberships count. A team's name is the least
+    name its counting members had within the window.
     """
-    members = memberships if mapping is None else primary_memberships(memberships, mapping)
+    members = memberships if mapping is None else with_primary(memberships, mapping).where("is_primary")
     active = flagged(users).where("active AND user_id IS NOT NULL").select(*SCOPE_DAY, "user_id")
-    joined = active.join(members.select(*SCOPE_DAY, "user_id", "team_id"), [*SCOPE_DAY, "user_id"])
+    named = members.select(*SCOPE_DAY, "user_id", "team_id", F.nullif("team_slug", F.lit("")).alias("name"))
+    joined = active.join(named, [*SCOPE_DAY, "user_id"])
     keys = [*SCOPE, "team_id"]
     lives = joined.groupBy(*keys).agg(F.min("day").alias("_first"), F.date_add(F.max("day"), max(windows) - 1).alias("_last"))
-    days = users.select(*SCOPE_DAY).distinct()
-    emitted = lives.join(days, SCOPE).where("day BETWEEN _first AND _last").select(*keys, "day")
+    # a scope has at most a few thousand days, so they travel as one array and each team keeps those of its life
+    days = users.select(*SCOPE_DAY).distinct().groupBy(*SCOPE).agg(F.sort_array(F.collect_list("day")).alias("_days"))
+    own = F.filter("_days", lambda d: d.between(F.col("_first"), F.col("_last")))
+    emitted = lives.join(lookup(days), SCOPE).select(*keys, F.explode(own).alias("day"))
     out = _rolling(joined, emitted, keys, windows).where("distinct_active_users > 0")
     kind = "team" if mapping is None else "primary_team"
-    return out.select(*SCOPE_DAY, F.lit(kind).alias("dimension_type"), F.col("team_id").cast("string").alias("dimension_id"), "window_days", "distinct_active_users")
+    return out.select(
+        *SCOPE_DAY, day_key(F.col("day")).alias("day_key"), F.lit(kind).alias("dimension_type"), F.col("team_id").cast("string").alias("dimension_id"), F.col("name").alias("dimension_name"),
+        "window_days", "distinct_active_users", F.lit("all_memberships" if mapping is None else "primary_team").alias("allocation_method"), F.lit(mapping is not None).alias("is_additive"),
+    )
 
 
 def freshness(observed: DataFrame, statuses: DataFrame, calendar: DataFrame, as_of: date, lag_days: int = LAG_DAYS) -> DataFrame:
@@ -243,25 +275,32 @@ def freshness(observed: DataFrame, statuses: DataFrame, calendar: DataFrame, as_
     core rows). ``statuses``: scope, day, report_type, status (complete or
     no_data), ingested; they override, and rows count only where complete. Where
     neither exists a day within ``lag_days`` of ``as_of`` is within_lag, else missing.
+    ``is_within_telemetry_lag`` says so of every such day, whatever arrived.
     """
     keys = [*SCOPE_DAY, "report_type"]
     joined = calendar.join(statuses, keys, "left").join(observed, keys, "left")
     seen = F.col("rows").isNotNull()
-    state = F.coalesce("status", F.when(seen, "complete"), F.when(F.datediff(F.lit(as_of).cast("date"), "day") <= lag_days, "within_lag").otherwise("missing"))
+    recent = F.datediff(F.lit(as_of).cast("date"), "day") <= lag_days
+    state = F.coalesce("status", F.when(seen, "complete"), F.when(recent, "within_lag").otherwise("missing"))
     counted = F.when(state == "complete", F.coalesce("rows", F.lit(0))).otherwise(0)
     late = F.greatest(F.lit(0), F.datediff(F.lit(as_of).cast("date"), "day") - lag_days)
     return joined.select(
         *keys, day_key(F.col("day")).alias("day_key"), state.alias("availability_status"),
         ((counted > 0) | (state == "complete")).alias("has_data"), (state == "no_data").alias("is_no_data"),
-        state.isin("complete", "no_data").alias("is_complete"), (state == "within_lag").alias("is_within_telemetry_lag"),
+        state.isin("complete", "no_data").alias("is_complete"), recent.alias("is_within_telemetry_lag"),
         late.cast("bigint").alias("days_late"), F.coalesce("ingested", F.when(state == "complete", F.col("latest_ingested"))).alias("latest_source_ingested_at"),
         F.when(state == "complete", F.coalesce("sparse", F.lit(0))).otherwise(0).cast("bigint").alias("sparse_metric_count"),
     )
 
 
-def observed_reports(rows: DataFrame, report_type: str, core: list[str]) -> DataFrame:
-    """Per scope and day the rows of a report, the newest ingestion and the nulls in its ``core`` columns."""
-    nulls = sum((F.col(c).isNull().cast("bigint") for c in core), F.lit(0).cast("bigint"))
+def observed_reports(rows: DataFrame, report_type: str, contract: Contract) -> DataFrame:
+    """Per scope and day the rows of a report, the newest ingestion and the nulls among the columns of its contract.
+
+    A nullable column that ``rows`` does not have is null in every row.
+    """
+    have = set(rows.columns)
+    absent = sum(c.nullable and c.name not in have for c in contract.columns)
+    nulls = sum((F.col(c.name).isNull().cast("bigint") for c in contract.columns if c.name in have), F.lit(absent).cast("bigint"))
     return rows.groupBy(*SCOPE_DAY).agg(
         F.count(F.lit(1)).alias("rows"), F.max("source_ingested_at").alias("latest_ingested"), F.sum(nulls).alias("sparse")
     ).withColumn("report_type", F.lit(report_type))
@@ -289,5 +328,4 @@ def with_corrections(gold: DataFrame, corrections: DataFrame, built_at: str) ->
 
 def last_known(df: DataFrame, keys: list[str], day: str = "day") -> DataFrame:
     """The row of the last day of each of ``keys``."""
-    order = Window.partitionBy(*keys).orderBy(F.col(day).desc())
-    return df.withColumn("__rank", F.row_number().over(order)).where("__rank = 1").drop("__rank")
+    return winning_rows(df, keys, [day])

@@ -13,13 +13,19 @@ from tidemark.store import Table
 def apply_deliveries(batch: DataFrame, store: Table, keys: list[str]) -> None:
     """Replaces the scope-days of ``batch`` whose delivery is newer than the stored one.
 
-    Running the same batch again changes nothing, so a restarted query ends in
-    the same table (exactly once by content).
+    ``store`` is partitioned by scope_slug and day, and only the partitions of
+    the batch are read and rewritten. Running the same batch again changes
+    nothing, so a restarted query ends in the same table (exactly once by content).
     """
-    both = batch if not store.exists() else batch.unionByName(store.read().select(*batch.columns))
+    if batch.isEmpty():
+        return
+    if not store.exists():
+        store.write(batch.limit(0))
+    touched = store.partitions_of(batch)
+    both = batch.unionByName(store.read_partitions(touched).select(*batch.columns))
     newest = latest_deliveries(both).drop("snapshot_seq")
     rows = both.join(newest, ["scope_slug", "day", "source_ingestion_id"], "left_semi")
-    store.write(winning_rows(rows, ["scope_slug", "day", *keys]))
+    store.rewrite(touched, winning_rows(rows, ["scope_slug", "day", *keys]))
 
 
 def snapshot_stream(stream: DataFrame, store: Table, keys: list[str], checkpoint: str) -> StreamingQuery:
