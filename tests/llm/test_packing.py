@@ -36,23 +36,61 @@ def test_plans_place_every_item_once_and_leave_little_room(n, capacity):
         assert plan.containers <= 1.03 * total / capacity + 1 or plan.containers <= 1.01 * sum(c for s, c in h.items() if 2 * s > capacity) + 1
 
 
+def longest_first(h, capacity):
+    """Containers that filling with the longest item that still fits would need."""
+    left, n = dict(h), 0
+    while any(left.values()):
+        room, n = capacity, n + 1
+        for size in sorted((s for s in left if left[s]), reverse=True):
+            c = min(room // size, left[size])
+            room -= c * size
+            left[size] -= c
+    return n
+
+
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("capacity", [64, 256, 1024])
+def test_plans_are_near_the_bound_and_no_worse_than_longest_first(seed, capacity):
+    h = histogram(random.Random(seed), 3000, capacity)
+    plan = packing.plan(h, capacity)
+    assert used(plan) == h and plan.containers == min(plan.laps) >= plan.bound
+    assert plan.containers <= longest_first(h, capacity)
+    assert plan.containers <= 1.004 * plan.bound + 1
+
+
 def test_planning_does_not_grow_with_the_items():
     h = {s: c * 10**7 for s, c in histogram(random.Random(1), 1000, 128).items()}
     plan = packing.plan(h, 128)
-    assert used(plan) == h and len(plan.configurations) < 5000
+    assert used(plan) == h and len(plan.configurations) < 8000
+
+
+def test_bounds_hold():
+    # three items over half the capacity need three containers though their volume fits two
+    assert packing.plan({6: 3}, 10).bound == 3
+    # thirds and a bit: two fit a container, by the priced weights as well
+    sizes, demand = np.array([4]), np.array([6])
+    assert packing.dual_bound(sizes, demand, np.array([1.0]), 10) == 3 and packing.plan({4: 6}, 10).containers == 3
 
 
 @pytest.mark.parametrize("seed", range(20))
 def test_pricing_is_the_best_knapsack(seed):
     rng = random.Random(seed)
     sizes = np.array(sorted(rng.sample(range(2, 20), 5)))
-    values = np.array([rng.random() for _ in sizes])
-    best = np.zeros(41)
-    for c in range(1, 41):
-        best[c] = max([best[c - 1], *[best[c - s] + v for s, v in zip(sizes, values) if s <= c]])
-    got = packing.price(sizes, values, 40)
-    assert sum(sizes[k] * n for k, n in got.items()) <= 40
-    assert sum(values[k] * n for k, n in got.items()) == pytest.approx(best[40])
+    values, most = np.array([rng.random() for _ in sizes]), np.array([rng.randint(1, 6) for _ in sizes])
+    best = [0.0] * 41
+    for s, v, n in zip(sizes.tolist(), values, most.tolist()):
+        best = [max(best[c - s * k] + v * k for k in range(n + 1) if s * k <= c) for c in range(41)]
+    got = packing.price(sizes, values, most, 40)
+    assert sum(sizes[k] * n for k, n in got.items()) <= 40 and all(n <= most[k] for k, n in got.items())
+    assert sum(values[k] * n for k, n in got.items()) == pytest.approx(best[40], rel=1e-5)
+    assert packing.dual_bound(sizes, np.ones(5), values, 40) == pytest.approx(values.sum() / max_unbounded(sizes, values, 40))
+
+
+def max_unbounded(sizes, values, capacity):
+    best = [0.0] * (capacity + 1)
+    for c in range(1, capacity + 1):
+        best[c] = max([best[c - 1], *[best[c - s] + v for s, v in zip(sizes.tolist(), values) if s <= c]])
+    return best[capacity]
 
 
 def filled(spark, sizes, kinds, **more):

@@ -3,13 +3,21 @@
 The lengths of all items form a histogram with at most ``capacity`` bins, so the
 planning problem does not grow with the number of items. A *configuration* says
 how many items of each length one container takes; the configuration linear
-program asks for the fewest containers that use up the histogram. It is solved
-by multiplicative weights: each length has a weight that falls as its demand is
-met, a knapsack dynamic program finds the configuration of greatest weight (the
-pricing step), and that configuration is used as far as the scarcest of its
-lengths allows, half of it at a time. The fractional solution is rounded down;
-what is left of the histogram is filled by configurations that take the longest
-items first and always the longest that still fits.
+program asks for the least total of configurations that covers the histogram.
+It is solved by multiplicative weights in *laps*. A lap covers the histogram
+once: a length is worth its weight, which falls as its demand is met; a knapsack
+dynamic program finds the configuration worth most (the pricing step), which is
+used for half of what its scarcest length allows. After a lap the weight of each
+length is multiplied by the exponential of its loss, the mean share of room left
+over in the containers it travelled in, so that lengths that are hard to place
+come earlier and in better company. The weights also give a dual bound, as do
+the volume and the items longer than half a container. Laps end when the best is
+within ``GAP`` of the bound, or after ``LAPS``; the rule is the same for every
+capacity.
+
+The mean of the laps is the fractional solution. Amounts within a lap are whole
+numbers, so rounding takes the lap with the fewest containers, which is at most
+the mean; no container comes from elsewhere.
 
 Items learn their container without ever coming together: an item's number
 among those of its length decides on configuration, container and place.
@@ -32,111 +40,120 @@ from pyspark.sql import functions as F
 
 from tidemark.session import buckets_for
 
-#: Pricing rounds of the linear program, how sharply weights fall, the share of the scarcest demand used at once,
-#: and how much more a token of a long item is worth, as long items are the hardest to place.
-ROUNDS, SHARPNESS, STEP, LONGER = 1500, 1.0, 0.5, 0.2
-#: Steps of the dynamic program over all rounds: large capacities get fewer rounds, as their containers fill easily.
-PRICING_STEPS = 200_000
-#: Container kinds that one call may fill.
-MAX_KINDS = 100
+#: Most laps, and the relative gap between containers and bound that ends them earlier.
+LAPS, GAP = 4, 1e-4
+#: How sharply a weight falls as demand is met, how much more a token of a long item is worth at first, the share
+#: of the scarcest demand used at once, and how strongly a lap's losses change the weights of the next.
+SHARPNESS, LONGER, STEP, LEARNING = 0.05, 1.0, 0.5, 1.0
+#: Lengths priced at once: the heaviest and as many spread over the others (partial pricing; the bound prices all).
+CANDIDATES = 256
 #: Items of one length that one task numbers.
 ROWS_PER_SALT = 250_000
 
 
-def price(sizes: np.ndarray, values: np.ndarray, capacity: int) -> dict[int, int]:
-    """The configuration (index of size -> copies) of greatest total value that fits ``capacity``."""
-    best = np.zeros(capacity + 1)
-    chosen = np.full(capacity + 1, -1, np.int64)
-    fits = np.searchsorted(sizes, np.arange(capacity + 1), side="right")
-    for c in range(int(sizes[0]), capacity + 1):
-        k = fits[c]
-        worth = best[c - sizes[:k]] + values[:k]
-        at = int(worth.argmax())
-        if worth[at] > best[c - 1]:
-            best[c], chosen[c] = worth[at], at
-        else:
-            best[c] = best[c - 1]
+def _copies(most: int) -> Iterator[int]:
+    """Powers of two and a rest that add up to ``most``, so that every number up to it is a sum of some of them."""
+    c = 1
+    while most > 0:
+        yield min(c, most)
+        most -= c
+        c *= 2
+
+
+def price(sizes: np.ndarray, values: np.ndarray, most: np.ndarray, capacity: int) -> dict[int, int]:
+    """The configuration (index of size -> copies, at most ``most``) of greatest total value that fits ``capacity``."""
+    best = np.zeros(capacity + 1, np.float32)
+    taken: list[tuple[int, int, int, np.ndarray]] = []
+    for k, (size, value, n) in enumerate(zip(sizes.tolist(), values.tolist(), most.tolist())):
+        for m in _copies(min(n, capacity // size)):
+            room = m * size
+            with_it = best[: capacity + 1 - room] + np.float32(m * value)
+            better = with_it > best[room:]
+            np.maximum(best[room:], with_it, out=best[room:])
+            taken.append((k, m, room, better))
     out: dict[int, int] = {}
-    c = capacity
-    while c > 0:
-        at = int(chosen[c])
-        if at < 0:
-            c -= 1
-            continue
-        out[at] = out.get(at, 0) + 1
-        c -= int(sizes[at])
+    at = capacity
+    for k, m, room, better in reversed(taken):
+        if at >= room and better[at - room]:
+            out[k] = out.get(k, 0) + m
+            at -= room
     return out
 
 
+def dual_bound(sizes: np.ndarray, demand: np.ndarray, values: np.ndarray, capacity: int) -> float:
+    """Containers that any covering needs: the value of all items over the most that one container can be worth."""
+    best = np.zeros(capacity + 1)
+    for size, value in zip(sizes.tolist(), values.tolist()):
+        for m in _copies(capacity // size):
+            best[m * size :] = np.maximum(best[m * size :], best[: capacity + 1 - m * size] + m * value)
+    return float(demand @ values / best[-1])
+
+
 @dataclass(frozen=True)
 class Plan:
-    """Configurations (length -> copies) with the number of containers of each."""
+    """Configurations (length -> copies) with the number of containers of each, and what the program proved about it."""
 
     capacity: int
     configurations: list[tuple[dict[int, int], int]]
+    #: no packing has fewer containers than this
+    bound: int = 0
+    #: containers of each lap; their mean is the value of the fractional solution
+    laps: tuple[int, ...] = ()
 
     @property
     def containers(self) -> int:
         return sum(n for _, n in self.configurations)
 
 
-def plan(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS) -> Plan:
+def _lap(sizes: np.ndarray, demand: np.ndarray, weights: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:
+    """One covering of ``demand``: configurations (index -> copies) and how often each is used."""
+    left = demand.copy()
+    worth = sizes * weights
+    out = []
+    while True:
+        open_ = np.flatnonzero(left)
+        if not len(open_):
+            return out
+        now = worth[open_] * np.exp(SHARPNESS * (left[open_] / demand[open_] - 1.0))
+        order = np.argsort(-now / sizes[open_], kind="stable")
+        others = np.sort(order[CANDIDATES // 2 :])
+        if len(others) > CANDIDATES // 2:
+            others = others[np.linspace(0, len(others) - 1, CANDIDATES // 2).astype(int)]
+        chosen = np.concatenate([order[: CANDIDATES // 2], others])
+        found = price(sizes[open_[chosen]], now[chosen], left[open_[chosen]], capacity)
+        config = {int(open_[chosen[k]]): c for k, c in found.items()}
+        amount = max(1, int(min(int(left[k]) // c for k, c in config.items()) * STEP))
+        out.append((config, amount))
+        for k, c in config.items():
+            left[k] -= amount * c
+
+
+def plan(histogram: dict[int, int], capacity: int, laps: int = LAPS) -> Plan:
     """Containers for ``histogram`` (length -> number of items, lengths from 1 to ``capacity``)."""
     sizes = np.array(sorted(histogram), np.int64)
     demand = np.array([histogram[int(s)] for s in sizes], np.int64)
-    done: list[tuple[dict[int, int], int]] = []
     if not len(sizes):
-        return Plan(capacity, done)
-    left = demand.astype(float)
-    fractions: list[tuple[dict[int, int], float]] = []
-    for _ in range(min(rounds, PRICING_STEPS // capacity + 1)):
-        open_ = np.flatnonzero(left >= 1.0)
-        if not len(open_):
+        return Plan(capacity, [])
+    halves = np.where(2 * sizes > capacity, 1.0, np.where(2 * sizes == capacity, 0.5, 0.0))
+    bound = max(float(demand @ sizes) / capacity, float(demand @ halves))
+    weights = np.exp(LONGER * sizes / capacity)
+    best, counts = None, []
+    for _ in range(laps):
+        found = _lap(sizes, demand, weights, capacity)
+        counts.append(sum(n for _, n in found))
+        if best is None or counts[-1] < sum(n for _, n in best):
+            best = found
+        bound = max(bound, dual_bound(sizes, demand, sizes * weights, capacity))
+        if min(counts) <= np.ceil(bound - 1e-6) * (1 + GAP):
             break
-        weights = np.exp(SHARPNESS * (left[open_] / demand[open_] - 1.0)) * (1.0 + LONGER * sizes[open_] / capacity)
-        config = price(sizes[open_], sizes[open_] * weights, capacity)
-        config = {int(open_[k]): n for k, n in config.items()}
-        amount = min(left[k] / n for k, n in config.items())
-        if amount >= 2.0:
-            amount *= STEP
-        fractions.append((config, amount))
-        for k, n in config.items():
-            left[k] -= amount * n
-    rest = demand.copy()
-    for config, amount in fractions:
-        n = min(int(amount + 1e-9), *(int(rest[k]) // c for k, c in config.items()))
-        if n > 0:
-            done.append(({int(sizes[k]): c for k, c in config.items()}, n))
+        loss = np.zeros(len(sizes))
+        for config, n in found:
+            spare = 1 - sum(int(sizes[k]) * c for k, c in config.items()) / capacity
             for k, c in config.items():
-                rest[k] -= n * c
-    done += _longest_first(sizes, rest, capacity)
-    return Plan(capacity, done)
-
-
-def _longest_first(sizes: np.ndarray, rest: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:
-    """Configurations for what is left; each uses up at least one length, so there are at most as many as lengths."""
-    out = []
-    rest = rest.copy()
-    open_ = [int(k) for k in np.flatnonzero(rest)]
-    while open_:
-        room, config = capacity, {}
-        at = len(open_) - 1
-        while room > 0 and at >= 0:
-            k = open_[at]
-            size = int(sizes[k])
-            if size > room:
-                at = int(np.searchsorted(sizes[open_[: at + 1]], room, side="right")) - 1
-                continue
-            n = min(room // size, int(rest[k]))
-            config[k] = n
-            room -= n * size
-            at -= 1
-        n = min(int(rest[k]) // c for k, c in config.items())
-        out.append(({int(sizes[k]): c for k, c in config.items()}, n))
-        for k, c in config.items():
-            rest[k] -= n * c
-        open_ = [k for k in open_ if rest[k]]
-    return out
+                loss[k] += n * c * spare
+        weights = weights * np.exp(LEARNING * loss / demand)
+        weights /= weights.mean()
+    return Plan(capacity, [({int(sizes[k]): c for k, c in config.items()}, n) for config, n in best], int(np.ceil(bound - 1e-6)), tuple(counts))
 
 
 def slots(p: Plan) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -155,10 +172,11 @@ def slots(p: Plan) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
 
 
 def pieces(items: DataFrame, capacities: DataFrame) -> DataFrame:
-    """Items cut to the capacity of each container kind: doc_id, container_kind, capacity, piece, token_start, length."""
-    kinds = capacities.where("container_kind IS NOT NULL AND capacity_tokens > 0").distinct().limit(MAX_KINDS + 1).collect()
-    if len(kinds) > MAX_KINDS:
-        raise ValueError(f"more than {MAX_KINDS} container kinds")
+    """Items cut to the capacity of each container kind: doc_id, container_kind, capacity, piece, token_start, length.
+
+    The kinds are a parameter of a few rows and come to the driver; rows of items never do.
+    """
+    kinds = capacities.where("container_kind IS NOT NULL AND capacity_tokens > 0").distinct().collect()
     if not kinds:
         return items.limit(0).select(
             "doc_id", F.lit("").alias("container_kind"), *[F.lit(0).cast(t).alias(c) for c, t in (("capacity", "bigint"), ("piece", "int"), ("token_start", "bigint"), ("length", "bigint"))]
@@ -187,16 +205,33 @@ def _numbered(cut: DataFrame, salts: int) -> DataFrame:
     return salted.withColumn("within", within).join(offsets, ["container_kind", "length", "salt"]).withColumn("number", F.col("within") + F.col("offset"))
 
 
-def histograms(cut: DataFrame) -> dict[str, tuple[int, dict[int, int]]]:
-    """Of each kind its capacity and histogram; at most ``capacity`` bins a kind are read to the driver."""
-    rows = cut.where("length > 0").groupBy("container_kind", "capacity", "length").agg(F.count(F.lit(1)).alias("n")).collect()
-    out: dict[str, tuple[int, dict[int, int]]] = {}
-    for r in rows:
-        out.setdefault(r["container_kind"], (r["capacity"], {}))[1][r["length"]] = r["n"]
-    return out
+PLACES = "container_kind string, length bigint, first array<bigint>, copies array<bigint>, start array<bigint>, containers bigint, bound bigint, laps array<bigint>"
+
+
+def planned(cut: DataFrame, laps: int = LAPS) -> DataFrame:
+    """The places of each kind and length, planned where the histograms are, one task per kind.
+
+    A row names a length: the running number of the first item of each of its
+    runs, the copies per container and the first container; further the
+    containers of its kind, their bound and the containers of each lap.
+    """
+    bins = cut.where("length > 0").groupBy("container_kind", "capacity", "length").agg(F.count(F.lit(1)).alias("n"))
+
+    def run(t: pa.Table) -> pa.Table:
+        kind, capacity = t["container_kind"][0].as_py(), t["capacity"][0].as_py()
+        p = plan(dict(zip(t["length"].to_pylist(), t["n"].to_pylist())), capacity, laps)
+        own = sorted(slots(p).items())
+        n, whole = len(own), pa.list_(pa.int64())
+        runs = [pa.array([x[k].tolist() for _, x in own], whole) for k in range(3)]
+        return pa.table(
+            [pa.array([kind] * n), pa.array([length for length, _ in own], pa.int64()), *runs, pa.array([p.containers] * n, pa.int64()), pa.array([p.bound] * n, pa.int64()), pa.array([list(p.laps)] * n, whole)],
+            names=[c.split()[0] for c in PLACES.split(", ")],
+        )
+
+    return bins.groupBy("container_kind").applyInArrow(run, PLACES)
 
 
-def fill_containers(items: DataFrame, capacities: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def fill_containers(items: DataFrame, capacities: DataFrame, laps: int = LAPS) -> DataFrame:
     """A container for every piece of every item and container kind.
 
     ``items`` (doc_id, n_tokens) is read three times, so it should be a written
@@ -204,9 +239,12 @@ def fill_containers(items: DataFrame, capacities: DataFrame, rounds: int = ROUND
     n_tokens (of the piece).
     """
     cut = pieces(items, capacities)
-    places = {kind: slots(plan(h, capacity, rounds)) for kind, (capacity, h) in histograms(cut).items()}
+    places: dict[str, dict[int, tuple]] = {}
+    # at most ``capacity`` lengths a kind; a kind's runs are as many as its configurations have lengths
+    for r in planned(cut, laps).select("container_kind", "length", "first", "copies", "start").collect():
+        places.setdefault(r["container_kind"], {})[r["length"]] = tuple(np.array(r[c], np.int64) for c in ("first", "copies", "start"))
     salts = buckets_for(items.count(), ROWS_PER_SALT, least=4)
-    shared = items.sparkSession.sparkContext.broadcast(places)  # at most rounds + capacity runs per length
+    shared = items.sparkSession.sparkContext.broadcast(places)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
