@@ -8,7 +8,8 @@ import pytest
 reading = pytest.importorskip("tidemark.llm.reading")
 
 
-@pytest.mark.parametrize(("word", "n"), [("the", 1), ("table", 2), ("make", 1), ("makes", 1), ("moved", 1), ("added", 2), ("organization", 5), ("rhythm", 1), ("a", 1), ("boxes", 2), ("xyz", 1)])
+@pytest.mark.parametrize(("word", "n"), [("the", 1), ("table", 2), ("make", 1), ("makes", 1), ("moved", 1), ("added", 2), ("organization", 5), ("rhythm", 1), ("a", 1), ("boxes", 2), ("xyz", 1),
+     ("create", 2), ("idea", 3), ("reality", 4), ("science", 2), ("friend", 1), ("nation", 2), ("special", 2), ("previous", 3), ("precisely", 3), ("management", 3), ("situation", 4), ("people", 2), ("question", 2)])
 def test_syllables(word, n):
     assert reading.syllables(word) == n
 
@@ -19,11 +20,28 @@ def test_prose_leaves_out_everything_else():
         '{"a": "b."}\n2031-03-01T10:00:00Z INFO run=1 done.\nOwner: team\n<b>Bold</b> words end here.\nSee https://x.test/a.b for more.\n'
     )
     assert reading.prose_lines(text) == ["This is prose. It has two sentences!", "This item is a full sentence.", "Bold  words end here.", "See   for more."]
-    assert [len(s) for s in reading.sentences(text)] == [3, 4, 6, 4, 3]
+    assert [len(s) for s in reading.clauses(text)] == [3, 4, 6, 4, 3]
+
+
+def test_independent_clauses_count_like_sentences():
+    got = reading.clauses("We saw it, and the page was red; it went on because the team asked. Use e.g. one box, or so.")
+    assert [" ".join(c) for c in got] == ["we saw it", "the page was red", "it went on", "the team asked", "use eg one box", "so"]
+
+
+def test_formulas_by_hand():
+    # one clause of 5 words, 9 syllables, 30 letters, 2 words of three syllables or more
+    parts = [["the", "organization", "can", "evaluate", "it"]]
+    letters, n = sum(map(len, parts[0])), 5
+    s, hard = (1 + 5 + 1 + 4 + 1) / n, 2 / n
+    want = (84.6 * s + 1.015 * n - 206.835, 0.39 * n + 11.8 * s - 15.59, 0.4 * (n + 100 * hard), 4.71 * letters / n + 0.5 * n - 21.43, 5.88 * letters / n - 29.6 / n - 15.8)
+    assert reading.formulas(parts) == pytest.approx(want)
+    # short clauses have no grade beside longer ones, and the median clause decides
+    assert reading.formulas([*parts, ["see"], ["no", "way"]]) == pytest.approx(want)
+    assert reading.formulas([["see"]])[3] == pytest.approx(4.71 * 3 + 0.5 - 21.43)
 
 
 def test_identifiers_and_names_are_no_words():
-    assert reading.sentences("Zephyr-dock asked why loc_added_sum is null-safe at 12 today.") == [["asked", "why", "is", "null", "safe", "at", "today"]]
+    assert reading.clauses("Zephyr-dock asked why loc_added_sum is null-safe at 12 today.") == [["asked", "why", "is", "null", "safe", "at", "today"]]
 
 
 @pytest.mark.parametrize(
@@ -38,7 +56,7 @@ def test_identifiers_and_names_are_no_words():
     ],
 )
 def test_language(text, english):
-    assert reading.is_english(text, reading.sentences(text)) is english
+    assert reading.is_english(text, reading.clauses(text)) is english
 
 
 def test_monotone_curves_rise():
@@ -96,7 +114,7 @@ def test_held_out_ratings_of_the_documents(spark, data):
     documents, labels = (spark.read.parquet(f"{larger}/{t}.parquet") for t in ("documents", "reading_labels"))
     scale = reading.fit_scale(documents, labels.where("doc_id % 2 = 0"))
     rated = reading.rated_texts(documents.withColumn("n", documents.doc_id), labels.where("doc_id % 2 <> 0"))
-    rows = [(r.band, scale.level(reading.formulas(p, scale.grades))) for r in rated.collect() if (p := reading.sentences(r.text))]
+    rows = [(r.band, scale.level(reading.formulas(p))) for r in rated.collect() if (p := reading.clauses(r.text))]
     band, level = map(np.array, zip(*rows))
     top, found = band >= reading.TOP_BAND, level >= scale.top
     assert 2 * (top & found).sum() / (top.sum() + found.sum()) > 0.85  # the ratings themselves differ in a tenth of the cases

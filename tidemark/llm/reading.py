@@ -1,17 +1,20 @@
 """Reading level of documents.
 
 The prose of a text (code, logs, tables, headings and bare lists taken out) is
-graded by several formulas: Flesch reading ease and Coleman-Liau from sentence
-length, syllables (counted by hyphenation-style rules) and letters, and three
-vocabulary grades in the manner of word-list formulas (over words, over
-sentences, and of the middle sentence). The word list is not given but graded
-from the rated texts: a word's grade is the mean band of the texts that use it. Every estimate is brought onto the scale of the ratings by a
-monotone curve, and the level of a document is the median of its estimates.
+graded by five classic formulas: Flesch reading ease, Flesch-Kincaid, Gunning
+fog, the automated readability index and Coleman-Liau. They need the length of
+sentences, syllables (by hyphenation patterns) and letters. As in Gunning's
+rule, independent clauses are counted as sentences of their own, so that long
+chains of simple clauses do not pass for difficult prose. A document's value by
+a formula is the median over its clauses; it is brought onto the scale of the
+ratings by a monotone curve, and the level is the median of the five grades. The
+ratings serve for these curves and the limit of the top band only.
 
 Defined cases: null, empty and blank texts and texts without prose have no level
-(null); raters are combined by their median and null ratings ignored; texts in
+(null); clauses of fewer than four words have no grade unless there are no
+others; raters are combined by their median and null ratings ignored; texts in
 another language have no level on this scale (``english`` is false); very long
-texts are read whole.
+texts are read whole; without ratings every level is 3.
 """
 
 from __future__ import annotations
@@ -25,21 +28,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import materialized
-
-#: Most rated documents and words that the fit reads to the driver.
-MAX_RATED, MAX_WORDS = 20_000, 50_000
+#: Most rated documents that the fit uses; a few numbers of each come to the driver.
+MAX_RATED = 20_000
+#: Fewest words of a clause that is graded.
+LEAST_WORDS = 4
 #: Raters' bands from which a document counts as of the top band when the limit is fitted.
 TOP_BAND = 4.75
 
 FENCE = re.compile(r"```.*?(?:```|\Z)", re.S)
-TAG = re.compile(r"<[^<>\n]{1,200}>")
+TAG = re.compile(r"<[^<>\n]+>")
 LINK = re.compile(r"https?://\S+")
 LOG = re.compile(r"\d{4}-\d\d-\d\d[T ]\d\d:")
 BULLET = re.compile(r"(?:[-*•]|\d{1,3}[.)])\s+")
 CLOSED = re.compile(r"[.!?][\"”’')\]]*$")
-SENTENCE = re.compile(r"[.!?]+[\"”’')\]]*(?:\s|$)")
+#: Ends of sentences and of independent clauses.
+CLAUSE = re.compile(
+    r"[.!?]+[\"”’')\]]*(?:\s|$)|[;:]\s|,\s+(?:and|but|or|so|yet|nor)\s"
+    r"|\s(?:and|so|because|although|while|since|if|when|whenever|unless|whereas)\s(?=(?:the|an?|it|they|we|you)\s)"
+)
+#: Abbreviations whose full stops end no sentence.
+SHORT = re.compile(r"\b(?:e\.g|i\.e|approx|p\.m|a\.m|etc|vs|cf|no|fig|dr|mr|mrs|ms|st)\.(?=\s)", re.I)
 VOWELS = re.compile(r"[aeiouy]+")
+_QUOTES = "'’"
 EDGES = ".,;:!?()[]{}\"“”'’‘*_`~<>"
 CJK = re.compile(r"[぀-ヿ一-鿿가-힯]")
 
@@ -56,16 +66,59 @@ for _language, _words in FUNCTION_WORDS.items():
         LANGUAGE_OF[_word] = (*LANGUAGE_OF.get(_word, ()), _language)
 
 
+# fixed values: hyphenation patterns; the greatest digit at a place wins, an odd one allows a break before the next letter
+HIATUS = """
+i1a i1o i1u u1a u1o e1o i1i y1a y1i a1o i1et i1er i1en fri2en tri2en pi2er ti2er u1el u1en u1id u1it qu2i bu2il gu2i su2it
+cre1a de1a. de1al re1al. re1al1i re1a. re1act re1as te1au be1in re1if re1in de1i o1em po1et co1e co1op
+ti2o si2o ci2o gi2o xi2o ci2a ti2a si2a gi2a ti2u ci2u gi2u qu2a qu2o qu2e gu2a gu2e lli2o ni2on ri2age vi2ew
+sci3en ci2e ti2et ti2en si2en xi2et eo2u ge2o pe2op u2ou y2ou ui2e u2ee
+""".split()
+# fixed values: the same for single vowels between consonants; an odd digit says that the next letter is silent
+SILENT = """
+1e. 1es. 1ed. bl2e. cl2e. dl2e. fl2e. gl2e. kl2e. pl2e. sl2e. tl2e. zl2e. bl2es. cl2es. dl2es. fl2es. gl2es. kl2es. pl2es. sl2es. tl2es. zl2es.
+s2es. z2es. x2es. c2es. g2es. ch2es. sh2es. t2ed. d2ed. 1ement. 1ements. 1eful 1eless 1ely. l2ement l2ely. ag1ement
+""".split()
+
+
+def _patterns(texts: list[str]) -> dict[str, tuple[int, ...]]:
+    """Letters of each pattern with the digits before, between and after them."""
+    out = {}
+    for text in texts:
+        letters, digits = "", [0]
+        for c in text:
+            if c.isdigit():
+                digits[-1] = int(c)
+            else:
+                letters += c
+                digits.append(0)
+        out[letters] = tuple(digits)
+    return out
+
+
+_HIATUS, _SILENT = _patterns(HIATUS), _patterns(SILENT)
+_LONGEST = max(map(len, [*_HIATUS, *_SILENT]))
+
+
+def _levels(word: str, patterns: dict[str, tuple[int, ...]]) -> list[int]:
+    """Of each letter of ``.word.`` the greatest digit that a pattern puts before it."""
+    levels = [0] * (len(word) + 1)
+    for a in range(len(word)):
+        for b in range(a + 1, min(len(word), a + _LONGEST) + 1):
+            for k, digit in enumerate(patterns.get(word[a:b], ())):
+                if digit > levels[a + k]:
+                    levels[a + k] = digit
+    return levels
+
+
 def syllables(word: str) -> int:
-    """Syllables of an English word: groups of vowels, without silent endings."""
-    w = word.lower().rstrip("'’")
-    n = len(VOWELS.findall(w))
-    if w.endswith("e") and not w.endswith(("le", "ee", "ye")):
-        n -= 1
-    elif w.endswith("es") and not w.endswith(("ses", "zes", "ces", "ges", "xes", "shes", "ches", "ies", "les")):
-        n -= 1
-    elif w.endswith("ed") and not w.endswith(("ted", "ded")):
-        n -= 1
+    """Syllables of an English word: its vowel groups, split and silenced by hyphenation patterns."""
+    w = f".{word.lower().rstrip(_QUOTES)}."
+    breaks, silent = _levels(w, _HIATUS), _levels(w, _SILENT)
+    n = 0
+    for group in VOWELS.finditer(w):
+        a, b = group.span()
+        n += 1 + sum(breaks[k] % 2 for k in range(a + 1, b))
+        n -= b == a + 1 and silent[a] % 2
     return max(1, n)
 
 
@@ -83,11 +136,11 @@ def prose_lines(text: str) -> list[str]:
     return out
 
 
-def sentences(text: str) -> list[list[str]]:
-    """The sentences of the prose as lists of lower-case words; names with a hyphen and identifiers are left out."""
+def clauses(text: str) -> list[list[str]]:
+    """The clauses of the prose as lists of lower-case words; names with a hyphen and identifiers are left out."""
     out = []
     for line in prose_lines(text):
-        for part in SENTENCE.split(line):
+        for part in CLAUSE.split(SHORT.sub(lambda m: m.group(0).replace(".", ""), line)):
             words = []
             for word in part.split():
                 word = word.strip(EDGES)
@@ -130,37 +183,24 @@ def _shape_of(word: str) -> tuple[int, int]:
     return found
 
 
-FORMULAS = ("reading_ease", "coleman_liau", "word_grade", "sentence_grade", "median_sentence")
+FORMULAS = ("reading_ease", "flesch_kincaid", "fog", "automated", "coleman_liau")
 
 
-def formulas(parts: list[list[str]], grades: dict[str, float]) -> tuple[float, ...]:
-    """The raw values of all formulas, each rising with difficulty; ``parts`` must hold a word."""
-    n_words = n_syllables = n_letters = 0
-    per_sentence = []
-    known, total = 0, 0.0
-    for words in parts:
-        n_words += len(words)
-        mine, count = 0.0, 0
-        for word in words:
-            s, letters = _shape_of(word)
-            n_syllables += s
-            n_letters += letters
-            g = grades.get(word)
-            if g is not None:
-                mine += g
-                count += 1
-        if count:
-            per_sentence.append(mine / count)
-            total += mine
-            known += count
-    k = len(parts)
-    return (
-        84.6 * n_syllables / n_words + 1.015 * n_words / k - 206.835,
-        5.88 * n_letters / n_words - 29.6 * k / n_words - 15.8,
-        total / known if known else 3.0,
-        float(np.mean(per_sentence)) if per_sentence else 3.0,
-        float(np.median(per_sentence)) if per_sentence else 3.0,
+def formulas(parts: list[list[str]]) -> tuple[float, ...]:
+    """The median over clauses of each formula, each rising with difficulty; ``parts`` must hold a word."""
+    graded = [p for p in parts if len(p) >= LEAST_WORDS] or parts
+    n = np.array([len(p) for p in graded], float)
+    shapes = np.array([_shape_of(word) for words in graded for word in words], float)
+    first = (np.cumsum(n) - n).astype(np.int64)
+    syllable, letter, hard = (np.add.reduceat(x, first) / n for x in (shapes[:, 0], shapes[:, 1], shapes[:, 0] >= 3))
+    values = (
+        84.6 * syllable + 1.015 * n - 206.835,  # reading ease with its sign turned
+        0.39 * n + 11.8 * syllable - 15.59,
+        0.4 * (n + 100 * hard),
+        4.71 * letter + 0.5 * n - 21.43,
+        5.88 * letter - 29.6 / n - 15.8,
     )
+    return tuple(float(np.median(v)) for v in values)
 
 
 def monotone(x: np.ndarray, y: np.ndarray, knots: int = 60) -> tuple[np.ndarray, np.ndarray]:
@@ -179,9 +219,8 @@ def monotone(x: np.ndarray, y: np.ndarray, knots: int = 60) -> tuple[np.ndarray,
 
 @dataclass(frozen=True)
 class Scale:
-    """What a fit keeps: word grades, the curve of each formula, and the limit of the top band."""
+    """What a fit keeps: the curve of each formula and the limit of the top band."""
 
-    grades: dict[str, float]
     curves: tuple[tuple[np.ndarray, np.ndarray], ...]
     top: float
 
@@ -196,20 +235,6 @@ def rated_texts(documents: DataFrame, labels: DataFrame, limit: int = MAX_RATED)
     return documents.where("text IS NOT NULL").select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "band")
 
 
-def _word_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums: dict[str, list[float]] = {}
-    for batch in batches:
-        for text, band in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            for words in sentences(text):
-                for word in words:
-                    s = sums.setdefault(word, [0, 0.0])
-                    s[0] += 1
-                    s[1] += band
-    if sums:
-        n, total = zip(*sums.values())
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array(n, pa.int64()), pa.array(total, pa.float64())], names=["word", "n", "total"])
-
-
 def top_limit(levels: np.ndarray, bands: np.ndarray) -> float:
     """The level from which documents count as of the top band: the limit with the best F1 on the rated ones."""
     top = bands >= TOP_BAND
@@ -222,39 +247,26 @@ def top_limit(levels: np.ndarray, bands: np.ndarray) -> float:
 
 
 def fit_scale(documents: DataFrame, labels: DataFrame, limit: int = MAX_RATED) -> Scale:
-    """Fits word grades and curves on a bounded sample of rated documents.
+    """Fits the curves on a bounded sample of rated documents.
 
-    To the driver come at most ``MAX_WORDS`` word grades and ``limit`` rows of
-    formula values, never texts. The sample is written once, so that the corpus is
-    read only once for the fit.
+    To the driver come at most ``limit`` rows of formula values, never texts.
     """
-    rated = materialized(rated_texts(documents, labels, limit))
-    words = (
-        rated.mapInArrow(_word_sums, "word string, n bigint, total double")
-        .groupBy("word").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
-        .orderBy(F.col("n").desc(), "word").limit(MAX_WORDS).collect()
-    )
-    centre = sum(r["total"] for r in words) / max(1, sum(r["n"] for r in words)) if words else 3.0
-    grades = {r["word"]: (r["total"] + 2 * centre) / (r["n"] + 2) for r in words}
-    shared = documents.sparkSession.sparkContext.broadcast(grades)
-
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(b, formulas(p, shared.value)) for t, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if (p := sentences(t))]
+            rows = [(b, formulas(p)) for t, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if (p := clauses(t)) and is_english(t, p)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([float(r[0]) for r in rows], pa.float64()), pa.array([list(r[1]) for r in rows], pa.list_(pa.float64()))], names=["band", "values"]
             )
 
-    rows = rated.mapInArrow(measure, "band double, values array<double>").collect()
+    rows = rated_texts(documents, labels, limit).mapInArrow(measure, "band double, values array<double>").collect()
     if not rows:
         flat = (np.array([0.0]), np.array([3.0]))
-        return Scale(grades, tuple(flat for _ in FORMULAS), 4.5)
+        return Scale(tuple(flat for _ in FORMULAS), 4.5)
     bands = np.array([r["band"] for r in rows])
     values = np.array([r["values"] for r in rows])
-    curves = tuple(monotone(values[:, k], bands) for k in range(len(FORMULAS)))
-    scale = Scale(grades, curves, 0.0)
+    scale = Scale(tuple(monotone(values[:, k], bands) for k in range(len(FORMULAS))), 0.0)
     levels = np.array([scale.level(tuple(v)) for v in values])
-    return Scale(grades, curves, top_limit(levels, bands))
+    return Scale(scale.curves, top_limit(levels, bands))
 
 
 def reading_levels(documents: DataFrame, scale: Scale, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -266,9 +278,9 @@ def reading_levels(documents: DataFrame, scale: Scale, doc_id: str = "doc_id", t
         for batch in batches:
             out = []
             for t in batch.column(1).to_pylist():
-                parts = sentences(t) if t else []
+                parts = clauses(t) if t else []
                 english = bool(parts) and is_english(t, parts)
-                level = s.level(formulas(parts, s.grades)) if english else None
+                level = s.level(formulas(parts)) if english else None
                 out.append((english, sum(map(len, parts)), level, bool(english and level >= s.top)))
             kinds = (pa.bool_(), pa.int64(), pa.float64(), pa.bool_())
             yield pa.RecordBatch.from_arrays(
