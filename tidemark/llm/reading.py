@@ -6,7 +6,7 @@ fog, the automated readability index and Coleman-Liau. They need the length of
 sentences, syllables (by hyphenation patterns) and letters. As in Gunning's
 rule, independent clauses are counted as sentences of their own, so that long
 chains of simple clauses do not pass for difficult prose. A document's value by
-a formula is the median over its clauses; it is brought onto the scale of the
+a formula is the mean of the middle half of its clauses; it is brought onto the scale of the
 ratings by a monotone curve, and the level is the median of the five grades. The
 ratings serve for these curves and the limit of the top band only.
 
@@ -43,7 +43,7 @@ BULLET = re.compile(r"(?:[-*•]|\d{1,3}[.)])\s+")
 CLOSED = re.compile(r"[.!?][\"”’')\]]*$")
 #: Ends of sentences and of independent clauses.
 CLAUSE = re.compile(
-    r"[.!?]+[\"”’')\]]*(?:\s|$)|[;:]\s|,\s+(?:and|but|or|so|yet|nor)\s"
+    r"[.!?]+[\"”’')\]]*(?:\s|$)|(?<=[a-z])[.!?]+(?=[A-Z])|[;:]\s|,\s+(?:and|but|or|so|yet|nor)\s"
     r"|\s(?:and|so|because|although|while|since|if|when|whenever|unless|whereas)\s(?=(?:the|an?|it|they|we|you)\s)"
 )
 #: Abbreviations whose full stops end no sentence.
@@ -187,7 +187,7 @@ FORMULAS = ("reading_ease", "flesch_kincaid", "fog", "automated", "coleman_liau"
 
 
 def formulas(parts: list[list[str]]) -> tuple[float, ...]:
-    """The median over clauses of each formula, each rising with difficulty; ``parts`` must hold a word."""
+    """The mean over the middle half of the clauses by each formula, each rising with difficulty; ``parts`` must hold a word."""
     graded = [p for p in parts if len(p) >= LEAST_WORDS] or parts
     n = np.array([len(p) for p in graded], float)
     shapes = np.array([_shape_of(word) for words in graded for word in words], float)
@@ -200,7 +200,8 @@ def formulas(parts: list[list[str]]) -> tuple[float, ...]:
         4.71 * letter + 0.5 * n - 21.43,
         5.88 * letter - 29.6 / n - 15.8,
     )
-    return tuple(float(np.median(v)) for v in values)
+    outer = len(n) // 4
+    return tuple(float(np.sort(v)[outer : len(n) - outer].mean()) for v in values)
 
 
 def monotone(x: np.ndarray, y: np.ndarray, knots: int = 60) -> tuple[np.ndarray, np.ndarray]:
