@@ -80,7 +80,7 @@ def corpus(spark, n=240):
         rows.append((k, text, "clash"))
         for rater in "ab":
             labels.append((k, rater, None if rng.random() < 0.1 else min(5, max(1, k % 5 + 1 + rng.choice([0, 0, 0, 0, -1, 1])))))
-    rows += [(1000, None, ""), (1001, "", ""), (1002, " \n ", ""), (1003, "```\ncode.\n```", ""), (1004, HARD[0] + " " + HARD[1], ""), (1005, EASY[0] * 400, "")]
+    rows += [(1000, None, ""), (1001, "", ""), (1002, " \n ", ""), (1003, "```\ncode.\n```", ""), (1004, HARD[0] + " " + HARD[1], ""), (1005, " ".join(EASY) * 100, "")]
     return spark.createDataFrame(rows, "doc_id bigint, text string, level string"), spark.createDataFrame(labels, "doc_id bigint, rater string, band int")
 
 
