@@ -136,15 +136,27 @@ def test_random_snapshots_match_brute_force(spark):
     assert changes(snapshots(spark, states), rows_per_bucket=10) == sorted(want, key=str)
 
 
-@pytest.mark.parametrize("size", [1, 7, 64, 1000])
+@pytest.mark.parametrize("size", [1, 7, 64, 1000, 70_000, 200_000])
 def test_bitmaps(size):
     rng = np.random.default_rng(size)
     for share in (0.0, 0.01, 0.5, 1.0):
         a, b = (np.flatnonzero(rng.random(size) < share) for _ in range(2))
-        x, y = snapdiff.Bitmap(a, size), snapdiff.Bitmap(b, size)
+        x, y = snapdiff.Bitmap(a), snapdiff.Bitmap(b)
         assert set(x.and_not(y)) == set(a) - set(b) and set(x.both(y)) == set(a) & set(b)
 
 
+def test_a_stored_registry_keeps_ordinals_and_gives_the_same_changes(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(snapdiff, "written", lambda df: kept.append(spark.createDataFrame(df.collect(), df.schema)) or kept[-1])
+    first = snapshots(spark, {("s", "2031-03-01"): {k: ("x", None) for k in range(40)}, ("s", "2031-03-02"): {k: ("x", None) for k in range(10, 50)}})
+    more = first.unionByName(snapshots(spark, {("s", "2031-03-03"): {k: ("x", str(k % 2)) for k in range(30, 70)}}))
+    changes(first, rows_per_bucket=5)
+    again = changes(more, registry=kept[0])
+    assert again == changes(more, rows_per_bucket=1000)
+    old, new = ({(r.scope_slug, r.record_id): (r.bucket, r.ordinal) for r in df.collect()} for df in kept[:2])
+    assert len(old) == 50 and len(new) == 70 and all(new[k] == v for k, v in old.items()) and len(set(new.values())) == 70
+
+
 def test_ordinals_persist_and_new_keys_follow(spark):
     keys = lambda values: spark.createDataFrame([("s", v) for v in values], "scope string, k bigint")
     first = snapdiff.ordinal_registry(keys([*range(50), 3, None]), ["scope", "k"], buckets=4)

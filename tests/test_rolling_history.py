@@ -87,6 +87,9 @@ def test_merging_day_by_day_equals_merging_at_once(spark):
             merged = history.type_two_merge(observations(spark, *today), current)
             current = spark.createDataFrame(merged.collect(), merged.schema)
     assert versions(current) == versions(whole)
+    for merges in (1, 3, 50):
+        assert versions(history.folded(observations(spark, *rows), merges)) == versions(whole)
+    assert history.folded(observations(spark, *rows).limit(0)).count() == 0
 
 
 def test_slugs_are_tidied_and_counted(spark):

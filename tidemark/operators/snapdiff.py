@@ -1,11 +1,13 @@
 """What changed between consecutive full snapshots.
 
-Keys map to ordinals; the presence of keys in a snapshot is a bitmap over
-ordinals, and the compared attributes are a column of 64-bit digests aligned
-with the ordinals. ``next AND NOT previous`` are the additions, ``previous AND
-NOT next`` the removals, and among the keys in both the aligned columns show the
-changes. Ordinals are numbered within hash buckets of the keys, so a bucket's
-bitmaps of all snapshots fit one task however large the scope is.
+Keys map to ordinals that persist: a stored registry numbers the keys of each
+hash bucket, known keys keep their number for ever and new ones follow. The
+presence of keys in a snapshot is a compressed bitmap over ordinals, and the
+compared attributes are a column of 64-bit digests aligned with them. ``next AND
+NOT previous`` are the additions, ``previous AND NOT next`` the removals, and
+among the keys in both the aligned columns show the changes. All operations work
+on the compressed containers. Ordinals are numbered within buckets, so a
+bucket's bitmaps of all snapshots fit one task however large the scope is.
 
 Defined cases: snapshots without rows exist only in a calendar that names them;
 the first snapshot of a scope yields nothing; rows with a null key are ignored;
@@ -20,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.latest import latest_deliveries
-from tidemark.session import buckets_for, lookup
+from tidemark.session import buckets_for, lookup, written
 
 #: Rows of all snapshots together that one bucket should hold.
 ROWS_PER_BUCKET = 100_000
@@ -46,62 +48,110 @@ def ordinal_registry(keys: DataFrame, names: list[str], registry: DataFrame | No
         return fresh.withColumn("ordinal", number)
     used = registry.groupBy("bucket").agg((F.max("ordinal") + 1).alias("_used"))
     fresh = fresh.join(registry.select(*names), names, "left_anti").withColumn("ordinal", number)
-    fresh = fresh.join(F.broadcast(used), "bucket", "left").withColumn("ordinal", F.col("ordinal") + F.coalesce("_used", F.lit(0)))
+    fresh = fresh.join(lookup(used), "bucket", "left").withColumn("ordinal", F.col("ordinal") + F.coalesce("_used", F.lit(0)))
     return registry.unionByName(fresh.select(*registry.columns))
 
 
+#: Ordinals of one container, and how many of them are kept as a sorted array before it becomes a bitmap.
+SPAN, SPARSE = 1 << 16, 4096
+_BIT = np.left_shift(np.uint64(1), np.arange(64, dtype=np.uint64))
+
+
+def _words(low: np.ndarray) -> np.ndarray:
+    """Sorted positions below ``SPAN`` as packed 64-bit words."""
+    words = np.zeros(SPAN // 64, np.uint64)
+    np.bitwise_or.at(words, low >> 6, _BIT[low & 63])
+    return words
+
+
+def _set_bits(words: np.ndarray) -> np.ndarray:
+    """Positions of the set bits; only words that have any are unpacked."""
+    some = np.flatnonzero(words)
+    bits = np.unpackbits(words[some].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    row, bit = np.nonzero(bits)
+    return (some[row] << 6) + bit
+
+
+def _has(words: np.ndarray, low: np.ndarray) -> np.ndarray:
+    return (words[low >> 6] & _BIT[low & 63]) != 0
+
+
 class Bitmap:
-    """A set of ordinals below ``size`` as packed bits, kept compressed as positions while sparse."""
-
-    __slots__ = ("size", "words", "sparse")
-
-    def __init__(self, ordinals: np.ndarray, size: int):
-        self.size = size
-        if len(ordinals) * 32 < size:
-            self.sparse, self.words = np.sort(ordinals).astype(np.int64), None
-        else:
-            flags = np.zeros(size, bool)
-            flags[ordinals] = True
-            self.sparse, self.words = None, np.packbits(flags)
-
-    def packed(self) -> np.ndarray:
-        if self.words is not None:
-            return self.words
-        flags = np.zeros(self.size, bool)
-        flags[self.sparse] = True
-        return np.packbits(flags)
+    """A set of ordinals in containers of ``SPAN``: a sorted array while sparse, packed words beyond."""
+
+    __slots__ = ("containers",)
+
+    def __init__(self, ordinals: np.ndarray):
+        ordinals = np.sort(np.asarray(ordinals, np.int64))
+        self.containers: dict[int, np.ndarray] = {}
+        high = ordinals // SPAN
+        for part in np.split(ordinals, np.flatnonzero(np.diff(high)) + 1):
+            if len(part):
+                low = part % SPAN
+                self.containers[int(part[0] // SPAN)] = low if len(low) <= SPARSE else _words(low)
+
+    def _combined(self, other: Bitmap, keep: bool) -> np.ndarray:
+        """Ordinals of this set that are (``keep``) or are not in ``other``, container by container."""
+        out = []
+        for high, mine in self.containers.items():
+            theirs = other.containers.get(high)
+            if theirs is None:
+                low = None if keep else (mine if mine.dtype != np.uint64 else _set_bits(mine))
+            elif mine.dtype == np.uint64:
+                packed = theirs if theirs.dtype == np.uint64 else _words(theirs)
+                low = _set_bits(mine & packed if keep else mine & ~packed)
+            elif theirs.dtype == np.uint64:
+                low = mine[_has(theirs, mine) == keep]
+            else:
+                at = np.minimum(np.searchsorted(theirs, mine), len(theirs) - 1)
+                low = mine[(theirs[at] == mine) == keep]
+            if low is not None and len(low):
+                out.append(low + high * SPAN)
+        return np.concatenate(out) if out else np.empty(0, np.int64)
 
     def and_not(self, other: Bitmap) -> np.ndarray:
         """Ordinals in this set and not in ``other``."""
-        return self._unpacked(self.packed() & ~other.packed())
+        return self._combined(other, False)
 
     def both(self, other: Bitmap) -> np.ndarray:
-        return self._unpacked(self.packed() & other.packed())
-
-    def _unpacked(self, words: np.ndarray) -> np.ndarray:
-        return np.flatnonzero(np.unpackbits(words, count=self.size))
+        return self._combined(other, True)
 
 
-def _diff_bucket(t: pa.Table) -> pa.Table:
-    """Events of one bucket: all snapshots of all its keys."""
+def _diff_bucket(keys: pa.Table, t: pa.Table) -> pa.Table:
+    """Events of one bucket: ``keys`` is its part of the registry, ``t`` all snapshots of all its keys."""
     coded = [t[c].combine_chunks().dictionary_encode() for c in ("report_type", "scope_slug")]
     kind, scope = (x.indices.to_numpy(zero_copy_only=False).astype(np.int64) for x in coded)
     names = [x.dictionary.to_pylist() for x in coded]
     record, seq, h, last = (t[c].to_numpy() for c in ("record_id", "snapshot_seq", "h", "last_seq"))
-    place = kind * len(names[1]) + scope
+    place = kind * max(1, len(names[1])) + scope
     order = np.argsort(place, kind="stable")
     place, record, seq, h, last = (x[order] for x in (place, record, seq, h, last))
+    # the registry's keys by the same numbers of report and scope
+    code = [{n: k for k, n in enumerate(x)} for x in names]
+    own = [np.array([c.get(v, -1) for v in keys[n].to_pylist()], np.int64) for c, n in zip(code, ("report_type", "scope_slug"))]
+    known = np.where((own[0] < 0) | (own[1] < 0), -1, own[0] * max(1, len(names[1])) + own[1])
+    key_of, ordinal_of = keys["record_id"].to_numpy(), keys["ordinal"].to_numpy()
+    by_key = np.lexsort((key_of, known))
+    known, key_of, ordinal_of = known[by_key], key_of[by_key], ordinal_of[by_key]
     out: dict[str, list] = {k: [] for k in ("place", "seq", "record", "what")}
     cuts = np.flatnonzero(np.diff(place)) + 1
     for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(place)]):
-        keys, ordinal = np.unique(record[a:b], return_inverse=True)
-        size, s, values = len(keys), seq[a:b], h[a:b]
+        if a == b:
+            continue
+        first, end = np.searchsorted(known, [place[a], place[a] + 1])
+        ordinal = ordinal_of[first:end][np.searchsorted(key_of[first:end], record[a:b])]
+        base = int(ordinal.min())
+        size = int(ordinal.max()) - base + 1
+        ordinal = ordinal - base
+        record_of = np.zeros(size, np.int64)
+        record_of[ordinal] = record[a:b]
+        s, values = seq[a:b], h[a:b]
         by_seq = np.argsort(s, kind="stable")
         bounds = np.searchsorted(s[by_seq], np.arange(1, int(last[a]) + 2))
         before, column = None, None
         for k in range(int(last[a])):
             rows = by_seq[bounds[k] : bounds[k + 1]]
-            now = Bitmap(ordinal[rows], size)
+            now = Bitmap(ordinal[rows])
             aligned = np.zeros(size, np.int64)
             aligned[ordinal[rows]] = values[rows]
             if before is not None:
@@ -109,7 +159,7 @@ def _diff_bucket(t: pa.Table) -> pa.Table:
                 for what, found in enumerate((now.and_not(before), before.and_not(now), common[aligned[common] != column[common]])):
                     out["place"].append(np.full(len(found), place[a]))
                     out["seq"].append(np.full(len(found), k + 1, np.int32))
-                    out["record"].append(keys[found])
+                    out["record"].append(record_of[found])
                     out["what"].append(np.full(len(found), what, np.int8))
             before, column = now, aligned
     got = {k: np.concatenate(v) if v else np.empty(0, np.int64) for k, v in out.items()}
@@ -154,25 +204,34 @@ def snapshot_calendar(df: DataFrame) -> DataFrame:
     return latest_deliveries(df).withColumn("last_seq", F.max("snapshot_seq").over(Window.partitionBy("scope_slug")))
 
 
-def snapshot_changes(reports: dict[str, tuple[DataFrame, str, list[Column]]], rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+KEY = ("report_type", "scope_slug", "record_id")
+
+
+def snapshot_changes(reports: dict[str, tuple[DataFrame, str, list[Column]]], rows_per_bucket: int = ROWS_PER_BUCKET, registry: DataFrame | None = None) -> DataFrame:
     """Added, removed and changed records between consecutive snapshots.
 
     ``reports`` maps a report type to its table, key column and compared
-    columns. Columns of the result: report_type, scope_slug, day (of the later
-    snapshot), record_id, change_kind. Each table is read once for its lineage
-    columns and once for keys and attributes; one exchange brings the rows of a
-    key bucket together.
+    columns. ``registry`` is the stored one of earlier runs (its number of buckets
+    counts); without it a new one is stored. Columns of the result: report_type,
+    scope_slug, day (of the later snapshot), record_id, change_kind. Each table is
+    read for its lineage columns, for its keys and for keys and attributes; one
+    exchange brings the rows of a key bucket together with its ordinals.
     """
-    keyed, days, rows = None, None, 0
+    keyed, days, keys, rows = None, None, None, 0
     for report_type, (df, key, attributes) in reports.items():
         calendar = lookup(snapshot_calendar(df))
         part = keyed_snapshots(df, report_type, key, attributes, calendar)
         day = calendar.select(F.lit(report_type).alias("report_type"), "scope_slug", "snapshot_seq", "day")
-        keyed, days = (part, day) if keyed is None else (keyed.unionByName(part), days.unionByName(day))
+        # distinct combines map-side: a task passes each key on once, however many snapshots it reads
+        own = df.select(F.lit(report_type).alias("report_type"), "scope_slug", F.col(key).cast("bigint").alias("record_id"))
+        keyed, days, keys = (part, day, own) if keyed is None else (keyed.unionByName(part), days.unionByName(day), keys.unionByName(own))
         rows += df.count()
-    buckets = buckets_for(rows, rows_per_bucket, least=12)
-    bucket = F.pmod(F.xxhash64("report_type", "scope_slug", "record_id"), F.lit(buckets)).cast("int")
-    events = keyed.groupBy(bucket.alias("bucket")).applyInArrow(_diff_bucket, EVENT_SCHEMA)
+    buckets = buckets_for(rows, rows_per_bucket, least=12) if registry is None else registry.agg(F.max("buckets")).first()[0]
+    earlier = None if registry is None else registry.select(*KEY, "bucket", "ordinal")
+    stored = written(ordinal_registry(keys, list(KEY), earlier, buckets).withColumn("buckets", F.lit(buckets)))
+    bucket = F.pmod(F.xxhash64(*KEY), F.lit(buckets)).cast("int")
+    numbered = stored.select("bucket", *KEY, "ordinal").groupBy("bucket")
+    events = numbered.cogroup(keyed.withColumn("bucket", bucket).groupBy("bucket")).applyInArrow(_diff_bucket, EVENT_SCHEMA)
     return events.join(lookup(days), ["report_type", "scope_slug", "snapshot_seq"]).select(
         "report_type", "scope_slug", "day", "record_id", "change_kind"
     )

@@ -120,7 +120,7 @@ def p5_consistent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     seen = history.team_slugs(table(spark, sf_dir, TEAMS)).unionByName(history.user_logins(table(spark, sf_dir, USERS)))
-    return history.type_two_merge(seen)
+    return history.folded(seen)
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:

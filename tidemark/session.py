@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,6 +69,16 @@ def materialized(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, *partition_by: str) -> DataFrame:
+    """``df`` as a parquet table in the shared checkpoint folder, read back: smaller than a checkpoint, and read by column and partition.
+
+    The folder stays until whoever owns the checkpoint folder clears it, as results that are not computed yet read it.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def lookup(small: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
     """``small`` as a broadcast side if it has at most ``bound`` rows, else unchanged.
 
