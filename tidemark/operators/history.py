@@ -69,20 +69,19 @@ def folded(observations: DataFrame, merges: int = MERGES) -> DataFrame:
 
     Every batch compares its hashes with the current versions, closes those that
     changed and inserts new open ones, as a scheduled load would. Observations
-    are written once, in a folder per batch, and so is the dimension after each
-    merge; what comes to the driver is the list of days.
+    are written once, and so is the dimension after each merge but the last; what
+    comes to the driver is the list of days.
     """
-    days = [r["day"] for r in observations.where("day IS NOT NULL").select("day").distinct().orderBy("day").collect()]
+    held = written(observations.where("day IS NOT NULL"))
+    days = [r["day"] for r in held.select("day").distinct().orderBy("day").collect()]
     if not days:
-        return type_two_merge(observations)
-    size = -(-len(days) // merges)
-    firsts = days[::size]
-    batch = sum((F.col("day") >= d).cast("int") for d in firsts[1:]) if len(firsts) > 1 else F.lit(0)
-    held = written(observations.where("day IS NOT NULL").withColumn("_batch", batch), "_batch")
+        return type_two_merge(held)
     current = None
-    for k in range(len(firsts)):
-        merged = type_two_merge(held.where(F.col("_batch") == k).drop("_batch"), current)
-        current = merged if k == len(firsts) - 1 else written(merged)
+    size = -(-len(days) // merges)
+    for k in range(0, len(days), size):
+        batch = held.where(F.col("day").between(days[k], days[min(k + size, len(days)) - 1]))
+        merged = type_two_merge(batch, current)
+        current = merged if k + size >= len(days) else written(merged)
     return current
 
 
