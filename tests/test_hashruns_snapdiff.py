@@ -78,6 +78,24 @@ def test_blocks_of_parts_merge_to_the_whole(spark):
     assert counted(hashruns.merged_counts(merged)) == counted(hashruns.merged_counts(whole))
 
 
+def test_one_organization_may_hold_nearly_all_cells(spark):
+    rng = random.Random(3)
+    org = lambda: "big" if rng.random() < 0.9 else rng.choice(["a", None])
+    days = [f"2031-03-{d:02d}" for d in range(1, 10)]
+    users = spark.createDataFrame([(rng.choice(days), org(), rng.randrange(30), "") for _ in range(500)], "day string, organization_id string, user_id bigint, kind string")
+    teams = spark.createDataFrame([(rng.choice(days), org(), rng.choice([*range(30), None]), rng.randrange(90)) for _ in range(900)], "day string, organization_id string, user_id bigint, team_id bigint")
+    assert counted(hashruns.merged_counts(hashruns.usage_blocks(users, teams, rows_per_range=100))) == brute(users, teams)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_runs_are_merged_in_order(seed):
+    rng = np.random.default_rng(seed)
+    runs = [np.unique(rng.integers(0, 50, 20).astype(np.uint64)) for _ in range(7)]
+    h = np.concatenate(runs)
+    order, rank = hashruns.merged_order(h)
+    assert (h[order] == np.sort(h)).all() and (np.unique(h)[rank] == h[order]).all()
+
+
 def test_no_rows_no_counts(spark):
     users, teams = usage(spark)
     assert hashruns.merged_counts(hashruns.usage_blocks(users.limit(0), teams.limit(0))).count() == 0

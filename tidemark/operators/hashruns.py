@@ -4,9 +4,14 @@ An identifier becomes a 64-bit hash. The hashes of a cell (here a day, an
 organization and a team) that fall into one range of the hash space are kept as
 a *run*: sorted, and coded as differences in variable-length bytes. Runs of one
 day and range lie together in one *block*, the unit that is stored; blocks of
-further days or deliveries are simply added. A union merges sorted runs of the
-same range, so no task ever holds more than one range, and counts of different
-ranges add up.
+further days or deliveries are simply added. A union merges the sorted runs of
+the same range (k-way: a natural merge sort takes the runs as they are), so no
+task ever holds more than one range, and counts of different ranges add up.
+
+Runs hold user identifiers, which are many. The organizations and teams of the
+rows are the names of the cells, and every block lists its cells; their distinct
+numbers come from these lists by grouping, which spreads the cells of one large
+organization over all tasks.
 
 Counts are exact unless two identifiers share a hash. By the birthday bound the
 expected number of identifiers lost that way is at most n(n-1)/2 / 2^64, which
@@ -22,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.session import buckets_for
@@ -30,8 +35,8 @@ from tidemark.session import buckets_for
 #: Identifier rows per hash range that one task may hold.
 ROWS_PER_RANGE = 400_000
 KINDS = ("user_id", "organization_id", "team_id")
-BLOCK_SCHEMA = "hash_range int, has_team boolean, day string, kind int, orgs array<string>, teams array<bigint>, sizes array<int>, runs binary"
-COUNT_SCHEMA = "grouping int, day string, organization_id string, team_id bigint, kind int, n bigint"
+BLOCK_SCHEMA = "hash_range int, has_team boolean, day string, orgs array<string>, teams array<bigint>, sizes array<int>, runs binary"
+COUNT_SCHEMA = "grouping int, day string, organization_id string, team_id bigint, n bigint"
 
 
 def encode_runs(hashes: np.ndarray, starts: np.ndarray) -> bytes:
@@ -75,14 +80,8 @@ def decode_runs(data: bytes, sizes: np.ndarray) -> np.ndarray:
     return running - np.repeat(before, sizes)
 
 
-def identifier_hashes(rows: DataFrame, cell: list[str], identifiers: dict[int, Column]) -> DataFrame:
-    """``cell`` columns, ``kind`` and the hash ``h`` of each identifier of a row; nulls are left out."""
-    pairs = F.array(*[F.struct(F.lit(k).alias("kind"), F.when(c.isNotNull(), F.xxhash64(c)).alias("h")) for k, c in identifiers.items()])
-    return rows.select(*cell, F.inline(pairs)).where("h IS NOT NULL")
-
-
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of a partition whose rows come sorted by range, team flag, day and kind."""
+    """Blocks of a partition whose rows come sorted by range, team flag and day; a null hash only names its cell."""
     held: list[pa.Table] = []
 
     def flush(tables: list[pa.Table]) -> pa.RecordBatch:
@@ -91,16 +90,18 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = org.indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
         team_null = t["team_id"].is_null().to_numpy()
         team = t["team_id"].fill_null(0).to_numpy()
-        h = t["h"].to_numpy().view(np.uint64)
-        order = np.lexsort((h, team, team_null, codes))
-        codes, team, team_null, h = codes[order], team[order], team_null[order], h[order]
+        empty = t["h"].is_null().to_numpy()
+        h = t["h"].fill_null(0).to_numpy().view(np.uint64)
+        order = np.lexsort((h, empty, team, team_null, codes))
+        codes, team, team_null, h, empty = codes[order], team[order], team_null[order], h[order], empty[order]
         new_cell = np.ones(len(h), bool)
         new_cell[1:] = (codes[1:] != codes[:-1]) | (team[1:] != team[:-1]) | (team_null[1:] != team_null[:-1])
         keep = new_cell.copy()
         keep[1:] |= h[1:] != h[:-1]
-        starts = np.flatnonzero(new_cell[keep])
-        sizes = np.diff(np.append(starts, keep.sum()))
+        keep &= ~empty
         at = np.flatnonzero(new_cell)
+        sizes = np.add.reduceat(keep, at)
+        starts = (np.cumsum(sizes) - sizes)[sizes > 0]
         names = org.dictionary.to_pylist()
         one = t.slice(0, 1)
         return pa.RecordBatch.from_pydict(
@@ -108,7 +109,6 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 "hash_range": one["hash_range"].to_pylist(),
                 "has_team": one["has_team"].to_pylist(),
                 "day": one["day"].to_pylist(),
-                "kind": one["kind"].to_pylist(),
                 "orgs": [[names[c] if c >= 0 else None for c in codes[at].tolist()]],
                 "teams": [[None if no else v for v, no in zip(team[at].tolist(), team_null[at].tolist())]],
                 "sizes": [sizes.tolist()],
@@ -116,7 +116,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             },
             schema=pa.schema(
                 [
-                    ("hash_range", pa.int32()), ("has_team", pa.bool_()), ("day", pa.string()), ("kind", pa.int32()),
+                    ("hash_range", pa.int32()), ("has_team", pa.bool_()), ("day", pa.string()),
                     ("orgs", pa.list_(pa.string())), ("teams", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("runs", pa.binary()),
                 ]
             ),
@@ -128,11 +128,11 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         t = pa.Table.from_batches([batch])
         day = t["day"].combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
-        range_, flag, kind = (t[c].to_numpy() for c in ("hash_range", "has_team", "kind"))
-        cut = np.flatnonzero((day[1:] != day[:-1]) | (range_[1:] != range_[:-1]) | (flag[1:] != flag[:-1]) | (kind[1:] != kind[:-1])) + 1
+        range_, flag = (t[c].to_numpy() for c in ("hash_range", "has_team"))
+        cut = np.flatnonzero((day[1:] != day[:-1]) | (range_[1:] != range_[:-1]) | (flag[1:] != flag[:-1])) + 1
         for a, b in zip([0, *cut.tolist()], [*cut.tolist(), t.num_rows]):
             piece = t.slice(a, b - a)
-            key = tuple(piece.slice(0, 1)[c].to_pylist()[0] for c in ("hash_range", "has_team", "day", "kind"))
+            key = tuple(piece.slice(0, 1)[c].to_pylist()[0] for c in ("hash_range", "has_team", "day"))
             if held and key != current:
                 yield flush(held)
                 held = []
@@ -143,68 +143,104 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def build_blocks(hashes: DataFrame, ranges: int) -> DataFrame:
-    """Blocks of runs from ``hashes`` (has_team, day, organization_id, team_id, kind, h).
+    """Blocks of runs from ``hashes`` (has_team, day, organization_id, team_id, h).
 
     The blocks are the mergeable partial result: write them once per day and
     read those of any days together. Two blocks may cover the same cell.
     """
     bits = max(1, (ranges - 1).bit_length())
-    ranged = hashes.select(F.shiftrightunsigned("h", 64 - bits).cast("int").alias("hash_range"), "has_team", "day", "kind", "organization_id", "team_id", "h")
-    placed = ranged.repartition("hash_range").sortWithinPartitions("hash_range", "has_team", "day", "kind")
+    # rows without an identifier only name their cell; they go by cell, as they have no hash to go by
+    place = F.shiftrightunsigned(F.coalesce("h", F.xxhash64("day", "organization_id", "team_id")), 64 - bits).cast("int")
+    ranged = hashes.select(place.alias("hash_range"), "has_team", "day", "organization_id", "team_id", "h")
+    placed = ranged.repartition("hash_range").sortWithinPartitions("hash_range", "has_team", "day")
     return placed.mapInArrow(_blocks, BLOCK_SCHEMA)
 
 
+def merged_order(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order that merges the concatenated sorted runs ``h``, and the rank of each value in that order.
+
+    A stable sort of integers of this width is a natural merge sort: it finds the
+    runs as they lie and merges them.
+    """
+    order = np.argsort(h, kind="stable")
+    merged = h[order]
+    fresh = np.ones(len(h), bool)
+    fresh[1:] = merged[1:] != merged[:-1]
+    return order, np.cumsum(fresh) - 1
+
+
+def _united(code: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Of elements in merged order, the first of each (code, rank): the union of the runs of every code."""
+    by_code = np.argsort(code, kind="stable")  # keeps the merged order within a code
+    c, r = code[by_code], rank[by_code]
+    first = np.ones(len(c), bool)
+    first[1:] = (c[1:] != c[:-1]) | (r[1:] != r[:-1])
+    return by_code[first]
+
+
 def _union_counts(groupings: tuple[int, ...]):
     """A function that unites the runs of one hash range for every grouping (bit 0 day, 1 organization, 2 team)."""
 
     def run(t: pa.Table) -> pa.Table:
         sizes = [np.asarray(s, np.int64) for s in t["sizes"].to_pylist()]
-        h = np.concatenate([decode_runs(r, s) for r, s in zip(t["runs"].to_pylist(), sizes)])
+        h = np.concatenate([decode_runs(r, s[s > 0]) for r, s in zip(t["runs"].to_pylist(), sizes)])
         cells = np.array([len(s) for s in sizes])
         per_cell = np.concatenate(sizes)
         day = t["day"].combine_chunks().dictionary_encode()
         block = np.repeat(np.arange(len(cells)), cells)
-        day_of = day.indices.fill_null(len(day.dictionary)).to_numpy(zero_copy_only=False)[block]
-        kind_of = t["kind"].to_numpy()[block]
+        day_of = day.indices.fill_null(len(day.dictionary)).to_numpy(zero_copy_only=False)[block].astype(np.int64)
         team_flag = t["has_team"].to_numpy(zero_copy_only=False)[block]
         org = t["orgs"].combine_chunks().flatten().dictionary_encode()
-        org_of = org.indices.fill_null(len(org.dictionary)).to_numpy(zero_copy_only=False)
+        org_of = org.indices.fill_null(len(org.dictionary)).to_numpy(zero_copy_only=False).astype(np.int64)
         team = t["teams"].combine_chunks().flatten().dictionary_encode()
-        team_of = team.indices.fill_null(len(team.dictionary)).to_numpy(zero_copy_only=False)
+        team_of = team.indices.fill_null(len(team.dictionary)).to_numpy(zero_copy_only=False).astype(np.int64)
         nd, no, nt = len(day.dictionary) + 1, len(org.dictionary) + 1, len(team.dictionary) + 1
         days, orgs, teams = (x.dictionary.to_pylist() + [None] for x in (day, org, team))
-        _, value = np.unique(h, return_inverse=True)
-        values = int(value.max()) + 1 if len(value) else 1
-        out = {k: [] for k in ("grouping", "day", "organization_id", "team_id", "kind", "n")}
+        order, rank = merged_order(h)
+        cell = np.repeat(np.arange(len(per_cell)), per_cell)[order]
+        out = {k: [] for k in ("grouping", "day", "organization_id", "team_id", "n")}
+
+        def code(g: int, of: np.ndarray) -> np.ndarray:
+            c = (day_of[of] if g & 1 else 0) * np.ones(len(of), np.int64)
+            return (c * no + (org_of[of] if g & 2 else 0)) * nt + (team_of[of] if g & 4 else 0)
+
+        # unions over days come first: most identifiers occur on many days, and what is left serves all groupings without a day
+        every = np.arange(len(cell))
+        whole = _united(code(6, cell) * 2 + team_flag[cell], rank)
+        whole = np.sort(whole)
         for g in groupings:
-            cell = kind_of.astype(np.int64)
-            cell = cell * nd + (day_of if g & 1 else 0)
-            cell = cell * no + (org_of if g & 2 else 0)
-            cell = cell * nt + (team_of if g & 4 else 0)
-            use = team_flag if g & 4 else np.ones(len(cell), bool)
-            if not use.any():
+            at = every if g & 1 else whole
+            at = at[team_flag[cell[at]]] if g & 4 else at
+            if not len(at):
                 continue
-            keys, code = np.unique(cell[use], return_inverse=True)
-            row = np.repeat(use, per_cell)
-            pair = np.repeat(code, per_cell[use]).astype(np.int64) * values + value[row]
-            pair.sort()
-            fresh = np.ones(len(pair), bool)
-            fresh[1:] = pair[1:] != pair[:-1]
-            n = np.bincount(pair[fresh] // values, minlength=len(keys))
+            c = code(g, cell[at])
+            keys, n = np.unique(c[_united(c, rank[at])], return_counts=True)
             rest, tc = np.divmod(keys, nt)
-            rest, oc = np.divmod(rest, no)
-            kc, dc = np.divmod(rest, nd)
+            dc, oc = np.divmod(rest, no)
             out["grouping"].append(pa.array(np.full(len(keys), g, np.int32)))
-            for name, names, c, bit, kind in (("day", days, dc, 1, pa.string()), ("organization_id", orgs, oc, 2, pa.string()), ("team_id", teams, tc, 4, pa.int64())):
-                out[name].append(pa.array(names, kind).take(pa.array(c)) if g & bit else pa.nulls(len(keys), kind))
-            out["kind"].append(pa.array(kc.astype(np.int32)))
+            for name, names, k, bit, kind in (("day", days, dc, 1, pa.string()), ("organization_id", orgs, oc, 2, pa.string()), ("team_id", teams, tc, 4, pa.int64())):
+                out[name].append(pa.array(names, kind).take(pa.array(k)) if g & bit else pa.nulls(len(keys), kind))
             out["n"].append(pa.array(n.astype(np.int64)))
-        kinds = {"grouping": pa.int32(), "day": pa.string(), "organization_id": pa.string(), "team_id": pa.int64(), "kind": pa.int32(), "n": pa.int64()}
+        kinds = {"grouping": pa.int32(), "day": pa.string(), "organization_id": pa.string(), "team_id": pa.int64(), "n": pa.int64()}
         return pa.table({k: pa.chunked_array(v, kinds[k]) for k, v in out.items()})
 
     return run
 
 
+def cell_names(blocks: DataFrame) -> DataFrame:
+    """The distinct cells that blocks list: has_team, day, organization_id, team_id."""
+    listed = blocks.select("has_team", "day", F.inline(F.arrays_zip(F.col("orgs").alias("organization_id"), F.col("teams").alias("team_id"))))
+    return listed.toDF("has_team", "day", "organization_id", "team_id").distinct()
+
+
+def _grouped(df: DataFrame, groupings: tuple[int, ...], extra: list[str]) -> DataFrame:
+    """The rows of ``df`` once per grouping, attributes outside of it null; groupings by team take rows that have one."""
+    bits = (("day", 1), ("organization_id", 2), ("team_id", 4))
+    each = [F.struct(F.lit(g).alias("grouping"), *[(F.col(c) if g & b else F.lit(None).cast(df.schema[c].dataType)).alias(c) for c, b in bits]) for g in groupings]
+    kept = df.withColumns({f"_{c}": F.col(c) for c in extra}).select("has_team", *[f"_{c}" for c in extra], F.explode(F.array(*each)).alias("g"))
+    return kept.where("has_team OR g.grouping < 4").select("g.*", *[f"_{c}" for c in extra])
+
+
 def merged_counts(blocks: DataFrame, groupings: tuple[int, ...] = (0, 1, 2, 3, 4, 5, 6, 7)) -> DataFrame:
     """Distinct counts for each grouping of day (bit 0), organization (bit 1) and team (bit 2).
 
@@ -212,9 +248,18 @@ def merged_counts(blocks: DataFrame, groupings: tuple[int, ...] = (0, 1, 2, 3, 4
     hash space; the counts of the ranges are added afterwards. Groupings by team
     count only rows that have a team attribute (``has_team``).
     """
-    partial = blocks.groupBy("hash_range").applyInArrow(_union_counts(groupings), COUNT_SCHEMA)
+    keys = ["grouping", "day", "organization_id", "team_id"]
+    users = blocks.groupBy("hash_range").applyInArrow(_union_counts(groupings), COUNT_SCHEMA)
+    # a cell's organization and team are its names: each counts once per group, and no key holds more than one group's names
+    cells = cell_names(blocks)
+    named = [_grouped(cells, groupings, [c]).where(f"_{c} IS NOT NULL").distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit(k)) for k, c in ((1, "organization_id"), (2, "team_id"))]
+    # every group has a row, with counts of 0 where no identifier is known
+    groups = _grouped(cells, groupings, []).distinct().withColumn("n", F.lit(0).cast("bigint")).withColumn("kind", F.lit(0))
+    parts = users.withColumn("kind", F.lit(0)).select(*keys, "n", "kind")
+    for p in (*named, groups):
+        parts = parts.unionByName(p.select(*keys, "n", "kind"))
     of = lambda k: F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("n"))), F.lit(0))
-    counted = partial.groupBy("grouping", "day", "organization_id", "team_id").agg(*[of(k).alias(f"distinct_{name}s") for k, name in enumerate(KINDS)])
+    counted = parts.groupBy(*keys).agg(*[of(k).alias(f"distinct_{name}s") for k, name in enumerate(KINDS)])
     error = lambda c: F.col(c).cast("double") * (F.col(c).cast("double") - 1.0) / F.lit(float(2**65))
     return counted.select(
         (F.col("grouping").bitwiseAND(1) > 0).alias("by_day"),
@@ -229,20 +274,17 @@ def merged_counts(blocks: DataFrame, groupings: tuple[int, ...] = (0, 1, 2, 3, 4
 
 
 def usage_hashes(users: DataFrame, teams: DataFrame) -> DataFrame:
-    """Hashes of the user, organization and team identifiers of both reports.
+    """Hashes of the user identifiers of both reports with the cell of their row.
 
     The users report has no team, so its rows take part in groupings without a
     team only. Repeated rows are dropped map-side first: an identifier that holds
     a large part of all rows reaches its hash range once per cell and task.
     """
     no_team = F.lit(None).cast("bigint")
-    u = users.select("day", "organization_id", no_team.alias("team_id"), "user_id", F.lit(False).alias("has_team"))
-    t = teams.select("day", "organization_id", F.col("team_id").cast("bigint"), "user_id", F.lit(True).alias("has_team"))
-    both = u.unionByName(t)
-    cell = ["has_team", "day", "organization_id", "team_id"]
-    people = identifier_hashes(both, cell, {0: F.col("user_id")}).distinct()
-    groups = identifier_hashes(both.select(*cell).distinct(), cell, {1: F.col("organization_id"), 2: F.col("team_id")})
-    return people.unionByName(groups)
+    h = F.when(F.col("user_id").isNotNull(), F.xxhash64("user_id")).alias("h")
+    u = users.select(F.lit(False).alias("has_team"), "day", "organization_id", no_team.alias("team_id"), h)
+    t = teams.select(F.lit(True).alias("has_team"), "day", "organization_id", F.col("team_id").cast("bigint"), h)
+    return u.unionByName(t).distinct()
 
 
 def usage_blocks(users: DataFrame, teams: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import drift, hashruns, history, profile, rolling, shred, snapdiff
-from tidemark.session import materialized, spread, table
+from tidemark.session import materialized, spread, table, written
 
 USERS, TEAMS, REPOS, LINES = "copilot_users_1_day", "copilot_user_teams_1_day", "copilot_repos_1_day", "silver_users_edge_cases"
 
@@ -48,7 +48,8 @@ def p1_judged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hashruns.merged_counts(hashruns.usage_blocks(table(spark, sf_dir, USERS), table(spark, sf_dir, TEAMS)))
+    # the blocks are stored before they are merged, as those of every day would be
+    return hashruns.merged_counts(written(hashruns.usage_blocks(table(spark, sf_dir, USERS), table(spark, sf_dir, TEAMS))))
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
