@@ -209,12 +209,13 @@ def _union_counts(groupings: tuple[int, ...]):
         whole = _united(code(6, cell) * 2 + team_flag[cell], rank)
         whole = np.sort(whole)
         for g in groupings:
+            listed = np.unique(code(g, np.flatnonzero(team_flag) if g & 4 else np.arange(len(team_flag))))
+            if not len(listed):
+                continue
             at = every if g & 1 else whole
             at = at[team_flag[cell[at]]] if g & 4 else at
-            if not len(at):
-                continue
             c = code(g, cell[at])
-            keys, n = np.unique(c[_united(c, rank[at])], return_counts=True)
+            keys, n = listed, np.bincount(np.searchsorted(listed, c[_united(c, rank[at])]), minlength=len(listed))
             rest, tc = np.divmod(keys, nt)
             dc, oc = np.divmod(rest, no)
             out["grouping"].append(pa.array(np.full(len(keys), g, np.int32)))
@@ -233,12 +234,23 @@ def cell_names(blocks: DataFrame) -> DataFrame:
     return listed.toDF("has_team", "day", "organization_id", "team_id").distinct()
 
 
-def _grouped(df: DataFrame, groupings: tuple[int, ...], extra: list[str]) -> DataFrame:
-    """The rows of ``df`` once per grouping, attributes outside of it null; groupings by team take rows that have one."""
+def _named(cells: DataFrame, groupings: tuple[int, ...]) -> DataFrame:
+    """Of each group the organizations and teams that its cells name, where the group itself does not name one: kind 1 or 2, and n.
+
+    A group that names its organization has that one only, so just the others
+    are counted, each name once per group; no key gathers more than one name.
+    """
     bits = (("day", 1), ("organization_id", 2), ("team_id", 4))
-    each = [F.struct(F.lit(g).alias("grouping"), *[(F.col(c) if g & b else F.lit(None).cast(df.schema[c].dataType)).alias(c) for c, b in bits]) for g in groupings]
-    kept = df.withColumns({f"_{c}": F.col(c) for c in extra}).select("has_team", *[f"_{c}" for c in extra], F.explode(F.array(*each)).alias("g"))
-    return kept.where("has_team OR g.grouping < 4").select("g.*", *[f"_{c}" for c in extra])
+    outside = lambda c: F.lit(None).cast(cells.schema[c].dataType)
+    each = [
+        F.when(F.col("has_team") if g & 4 else F.lit(True), F.struct(
+            F.lit(g).alias("grouping"), *[(F.col(c) if g & b else outside(c)).alias(c) for c, b in bits], F.lit(kind).alias("kind"),
+            (F.col("organization_id") if kind == 1 else outside("organization_id")).alias("_org"), (F.col("team_id") if kind == 2 else outside("team_id")).alias("_team"),
+        ))
+        for g in groupings for kind in (1, 2) if not g & (2, 4)[kind - 1]
+    ]
+    names = cells.select(F.inline(F.array_compact(F.array(*each)))).where("_org IS NOT NULL OR _team IS NOT NULL").distinct()
+    return names.groupBy("grouping", "day", "organization_id", "team_id", "kind").agg(F.count(F.lit(1)).alias("n"))
 
 
 def merged_counts(blocks: DataFrame, groupings: tuple[int, ...] = (0, 1, 2, 3, 4, 5, 6, 7)) -> DataFrame:
@@ -249,17 +261,13 @@ def merged_counts(blocks: DataFrame, groupings: tuple[int, ...] = (0, 1, 2, 3, 4
     count only rows that have a team attribute (``has_team``).
     """
     keys = ["grouping", "day", "organization_id", "team_id"]
-    users = blocks.groupBy("hash_range").applyInArrow(_union_counts(groupings), COUNT_SCHEMA)
-    # a cell's organization and team are its names: each counts once per group, and no key holds more than one group's names
-    cells = cell_names(blocks)
-    named = [_grouped(cells, groupings, [c]).where(f"_{c} IS NOT NULL").distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit(k)) for k, c in ((1, "organization_id"), (2, "team_id"))]
-    # every group has a row, with counts of 0 where no identifier is known
-    groups = _grouped(cells, groupings, []).distinct().withColumn("n", F.lit(0).cast("bigint")).withColumn("kind", F.lit(0))
-    parts = users.withColumn("kind", F.lit(0)).select(*keys, "n", "kind")
-    for p in (*named, groups):
-        parts = parts.unionByName(p.select(*keys, "n", "kind"))
+    users = blocks.groupBy("hash_range").applyInArrow(_union_counts(groupings), COUNT_SCHEMA).withColumn("kind", F.lit(0))
+    names = _named(cell_names(blocks), groupings)
+    parts = users.select(*keys, "kind", "n").unionByName(names.select(*keys, "kind", "n"))
     of = lambda k: F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("n"))), F.lit(0))
-    counted = parts.groupBy(*keys).agg(*[of(k).alias(f"distinct_{name}s") for k, name in enumerate(KINDS)])
+    own = lambda c, b, n: F.when(F.col("grouping").bitwiseAND(b) > 0, F.col(c).isNotNull().cast("bigint")).otherwise(F.col(n)).alias(n)
+    summed = parts.groupBy(*keys).agg(*[of(k).alias(f"distinct_{name}s") for k, name in enumerate(KINDS)])
+    counted = summed.select(*keys, "distinct_user_ids", own("organization_id", 2, "distinct_organization_ids"), own("team_id", 4, "distinct_team_ids"))
     error = lambda c: F.col(c).cast("double") * (F.col(c).cast("double") - 1.0) / F.lit(float(2**65))
     return counted.select(
         (F.col("grouping").bitwiseAND(1) > 0).alias("by_day"),
