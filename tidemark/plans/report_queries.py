@@ -22,9 +22,26 @@ def _repo_checks() -> list[profile.ColumnCheck]:
     return [profile.ColumnCheck("pull_requests.median_minutes_to_merge", "pull_requests.total_merged")]
 
 
-def _states(spark: SparkSession, sf_dir: str, distinct: bool = False) -> DataFrame:
-    users = profile.profile_states(table(spark, sf_dir, USERS), USERS, _user_checks(), distinct)
-    return users.unionByName(profile.profile_states(table(spark, sf_dir, REPOS), REPOS, _repo_checks(), distinct))
+#: What texts of the reports look like.
+DIGITS, LOGIN, VISIBILITY = "^[0-9]+$", "^[a-z0-9._-]+$", "^(PUBLIC|PRIVATE|INTERNAL)$"
+
+
+def _every_column(reports: DataFrame, named: list[profile.ColumnCheck], patterns: dict[str, str]) -> list[profile.ColumnCheck]:
+    """Checks of all scalar columns of a report, members of structs included; those ``named`` keep theirs."""
+    own = {c.column: c for c in named}
+    leaves = [(f.name, f.dataType) for f in reports.schema if f.name not in ("scope_kind", "scope_slug", "day") and not f.name.startswith("source_")]
+    leaves = [leaf for n, t in leaves for leaf in ([(f"{n}.{m.name}", m.dataType) for m in t] if t.typeName() == "struct" else [(n, t)])]
+    return [own.get(n) or profile.ColumnCheck(n, text=t.typeName() == "string", pattern=patterns.get(n)) for n, t in leaves if t.typeName() not in ("array", "struct", "map")]
+
+
+def _states(spark: SparkSession, sf_dir: str, every: bool = False) -> DataFrame:
+    """States of both reports, stored per load of a report and merged: of the named columns, or of every column with distinct values."""
+    users, repos = table(spark, sf_dir, USERS), table(spark, sf_dir, REPOS)
+    checks = [_user_checks(), _repo_checks()]
+    if every:
+        ids = {"organization_id": DIGITS, "enterprise_id": DIGITS}
+        checks = [_every_column(users, checks[0], ids | {"user_login": LOGIN}), _every_column(repos, checks[1], ids | {"repo_visibility": VISIBILITY})]
+    return profile.merge_states(*[written(profile.profile_states(df, name, c, every)) for df, name, c in zip((users, repos), (USERS, REPOS), checks)])
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,18 +50,27 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of the profile of every column that SQL can check."""
     keys = ("table_name", "column_name", "source_ingestion_id", "row_count", "null_count", "nan_count", "zero_count", "negative_count", "violations")
-    return profile.profiles(_states(spark, sf_dir)).select(*keys, F.col("least").alias("least_value"), F.col("greatest").alias("greatest_value"))
+    return profile.profiles(_states(spark, sf_dir, every=True)).select(*keys, F.col("least").alias("least_value"), F.col("greatest").alias("greatest_value"))
 
 
-def p1_judged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole profile: that of p1_profile with distinct values, agreement with the companion, change against the other deliveries and limits."""
-    states = materialized(_states(spark, sf_dir, distinct=True))
+def _whole_profile(judged: DataFrame) -> DataFrame:
     limits = [f"{v}{s}" for v in ("excess", "correlation", "violation_share") for s in ("", "_center", "_sigma")]
     keys = ("table_name", "column_name", "scope_slug", "source_ingestion_id", "day", "row_count", "null_count", "nan_count", "zero_count", "negative_count", "violations")
-    return profile.judged(states).select(
-        *keys, F.col("least").alias("least_value"), F.col("greatest").alias("greatest_value"), "distinct_values", *limits, "peers", "broken"
-    )
+    return judged.select(*keys, F.col("least").alias("least_value"), F.col("greatest").alias("greatest_value"), "distinct_values", *limits, "peers", "broken")
+
+
+def p1_judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole profile of every column: that of p1_profile with distinct values, agreement with the companion, change against the other deliveries and limits."""
+    return _whole_profile(profile.judged(materialized(_states(spark, sf_dir, every=True))))
+
+
+def p1_new_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The deliveries of the last seven days, judged by the stored states of the days before alone."""
+    states = materialized(_states(spark, sf_dir, every=True))
+    last = states.agg(F.date_sub(F.max(F.to_date("day")), 6).cast("string")).first()[0] or ""
+    return _whole_profile(profile.judged(states.where(F.col("day") >= last), states.where(F.col("day") < last)))
 
 
 def p2_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,6 +166,7 @@ QUERIES = {
     "p1_found": p1_found,
     "p1_profile": p1_profile,
     "p1_judged": p1_judged,
+    "p1_new_loads": p1_new_loads,
     "p2_distinct": p2_distinct,
     "p3_found": p3_found,
     "p4_found": p4_found,
@@ -166,8 +193,8 @@ def _won(name: str, keys: str) -> str:
     WHERE line_rank = 1"""
 
 
-def _profile_sql(name: str, column: str, rule: str) -> str:
-    x = f"CAST({column} AS DOUBLE)"
+def _profile_sql(name: str, column: str, rule: str = "false", text: bool = False) -> str:
+    x = f"CAST(length(trim({column})) AS DOUBLE)" if text else f"CAST({column} AS DOUBLE)"
     return f"""SELECT '{name}' AS table_name, '{column}' AS column_name, source_ingestion_id, count(*) AS row_count,
       count(*) FILTER ({x} IS NULL) AS null_count, count(*) FILTER (isnan({x})) AS nan_count,
       count(*) FILTER ({x} = 0) AS zero_count, count(*) FILTER ({x} < 0) AS negative_count,
@@ -179,8 +206,27 @@ def _profile_sql(name: str, column: str, rule: str) -> str:
 _P1 = " UNION ALL ".join(
     [
         _profile_sql(USERS, "code_acceptance_activity_count", "code_acceptance_activity_count > code_generation_activity_count"),
-        _profile_sql(USERS, "loc_added_sum", "false"),
-        _profile_sql(REPOS, "pull_requests.median_minutes_to_merge", "false"),
+        *[
+            _profile_sql(USERS, c)
+            for c in (
+                "user_id ai_credits_used user_initiated_interaction_count code_generation_activity_count loc_suggested_to_add_sum loc_suggested_to_delete_sum loc_added_sum "
+                "loc_deleted_sum used_agent used_chat used_cli used_copilot_app used_copilot_coding_agent used_copilot_cloud_agent ai_adoption_phase.phase_number"
+            ).split()
+        ],
+        *[_profile_sql(n, c, f"NOT regexp_matches({c}, '^[0-9]+$')", True) for n in (USERS, REPOS) for c in ("enterprise_id", "organization_id")],
+        _profile_sql(USERS, "user_login", "NOT regexp_matches(user_login, '^[a-z0-9._-]+$')", True),
+        *[_profile_sql(USERS, f"ai_adoption_phase.{c}", text=True) for c in ("name", "version")],
+        _profile_sql(REPOS, "repo_visibility", "NOT regexp_matches(repo_visibility, '^(PUBLIC|PRIVATE|INTERNAL)$')", True),
+        *[_profile_sql(REPOS, c, text=True) for c in ("repo_owner_name", "repo_name")],
+        _profile_sql(REPOS, "repo_id"),
+        *[
+            _profile_sql(REPOS, f"pull_requests.{c}")
+            for c in (
+                "total_reviewed total_created total_created_by_copilot total_reviewed_by_copilot total_merged median_minutes_to_merge total_suggestions total_applied_suggestions "
+                "total_merged_created_by_copilot median_minutes_to_merge_copilot_authored total_copilot_suggestions total_copilot_applied_suggestions "
+                "total_merged_reviewed_by_copilot median_minutes_to_merge_copilot_reviewed"
+            ).split()
+        ],
     ]
 )
 
