@@ -264,6 +264,17 @@ def test_p5_consistent_loses_no_value_of_a_line(spark, data):
             assert got == leaves(raw[r.record_id])
 
 
-@pytest.mark.parametrize(("name", "words"), [("chatUsed", {"chat", "used"}), ("a.b[].org_id", {"organization", "id"}), ("x", {"x"})])
+@pytest.mark.parametrize(("name", "words"), [("chatUsed", {"chat", "used"}), ("a.b[].org_id", {"org", "id"}), ("x", {"x"}), ("classes", {"classe"})])
 def test_name_words(name, words):
     assert drift.name_words(name) == words
+
+
+@pytest.mark.parametrize(("a", "b", "same"), [("org", "organization", True), ("cnt", "count", True), ("id", "identifier", False), ("loc", "lines", False), ("used", "user", False), ("x", "x", True)])
+def test_abbreviations_are_the_same_word(a, b, same):
+    assert drift.same_word(a, b) is drift.same_word(b, a) is same
+
+
+def test_whole_numbers_beside_fractions():
+    whole, mixed = {"n": 40, "integers": 40}, {"n": 40, "integers": 20}
+    assert drift.by_chance(whole, mixed) < 1e-9 and drift.by_chance(mixed, whole) < 1e-9
+    assert drift.by_chance({"n": 2, "integers": 2}, mixed) > drift.CHANCE and drift.by_chance(whole, whole) == drift.by_chance(mixed, mixed) == 1.0

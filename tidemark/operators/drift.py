@@ -37,10 +37,13 @@ from pyspark.sql import functions as F
 from tidemark.operators.jsonlines import json_object, json_value
 
 SHARE = 0.25
-#: Values kept per field and file to compare what two fields hold: the least hashes.
-SKETCH = 12
+#: Size of the bottom-k sketch of a field's values in a file: the least hashes of all its values, merged over lines and
+#: tasks. It estimates the share of values two fields have in common with a standard error of at most 1 / (2 sqrt(k)).
+SKETCH = 32
 #: Lines after which a task passes on the footers it has gathered.
 FLUSH_LINES = 50_000
+#: Whole numbers beside fractions speak against a rename where chance would give them less often than this.
+CHANCE = 0.05
 STRING, NUMBER, BOOLEAN, OBJECT, ARRAY = range(5)
 TYPE_NAMES = ("string", "number", "boolean", "object", "array")
 FEED = ("scope_slug", "report_type")
@@ -165,10 +168,10 @@ def _usual(s: list) -> int:
     return -1 if not best else max((t for t in range(5) if s[t] == best), key=lambda t: TYPE_NAMES[t])
 
 
-def judged_fields(lines: int, stats: dict[str, list], known: dict[str, int]) -> dict[str, dict[str, int]]:
-    """Of one file: the places whose members can be judged, each with the fields it has and their types.
+def judged_fields(lines: int, stats: dict[str, list]) -> dict[str, dict[str, int]]:
+    """Of one file: the places whose members can be judged, each with the fields it has and their types (-1: only nulls).
 
-    ``known`` holds the latest type of each path and is brought up to date.
+    A place is open where the file itself holds objects in its usual type, so no other file has a say.
     """
     places: dict[str, dict[str, int]] = {"": {}} if lines else {}
     for path in sorted(stats, key=lambda p: (p.count("."), p)):
@@ -184,10 +187,6 @@ def judged_fields(lines: int, stats: dict[str, list], known: dict[str, int]) ->
         if not s[HAS] or s[HAS] < SHARE * could:
             continue
         kind = _usual(s)
-        if kind < 0:
-            kind = known.get(path, -1)
-        else:
-            known[path] = kind
         places[place][path] = kind
         if kind == OBJECT and s[OBJECT]:
             places.setdefault(path, {})
@@ -196,71 +195,64 @@ def judged_fields(lines: int, stats: dict[str, list], known: dict[str, int]) ->
     return places
 
 
-OBSERVATION = (
-    "scope_slug string, report_type string, place string, seq int, source_file string, next_file string, field string, "
-    "json_type string, n bigint, log_sum double, integers bigint, sketch array<bigint>"
-)
+FIELDS = "array<struct<field: string, json_type: string, n: bigint, log_sum: double, integers: bigint, sketch: array<bigint>>>"
 
 
-def field_observations(lines: DataFrame) -> DataFrame:
-    """The exploded footers: one row per file and field it has.
+def file_places(lines: DataFrame) -> DataFrame:
+    """One row per file and place that can be judged in it, with the fields the file has there.
 
-    ``seq`` numbers the files of a feed in which the field's place was judged and
-    ``next_file`` names the following one (null for the last). Footers move by
-    feed; they hold a few hundred bytes per path and file, whatever the lines.
+    Footers move by file, so the files of one feed are merged in parallel however
+    many it has; a footer holds a few hundred bytes per path, whatever the lines.
     """
     partial = partial_footers(lines)
-    keyed = partial.repartition(*FEED).sortWithinPartitions(*FEED, "report_day", "source_file")
-    names = [p.split()[0] for p in OBSERVATION.split(", ")]
-    kinds = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "double": pa.float64(), "array<bigint>": pa.list_(pa.int64())}
-    schema = pa.schema([(p.split()[0], kinds[p.split()[1]]) for p in OBSERVATION.split(", ")])
+    keyed = partial.repartition(*FEED, "source_file").sortWithinPartitions(*FEED, "source_file", "report_day")
+    entry = pa.struct([("field", pa.string()), ("json_type", pa.string()), ("n", pa.int64()), ("log_sum", pa.float64()), ("integers", pa.int64()), ("sketch", pa.list_(pa.int64()))])
+    schema = pa.schema([*[(c, pa.string()) for c in (*FEED, "report_day", "source_file", "place")], ("fields", pa.list_(entry))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        feed, known, open_places, seqs = None, {}, {}, {}
         file, footer, sketches = None, Footer(), {}
         out: list[tuple] = []
 
         def end_file() -> None:
-            if file is None:
-                return
-            for place, fields in judged_fields(footer.lines, footer.stats, known).items():
-                seqs[place] = seqs.get(place, 0) + 1
-                for row in open_places.get(place, ()):
-                    out.append((*row[:5], file, *row[6:]))
-                rows = open_places[place] = []
+            for place, fields in judged_fields(footer.lines, footer.stats).items() if file else ():
+                rows = []
                 for path, kind in fields.items():
                     s = footer.stats[path]
-                    n = s[kind] if kind >= 0 else 0
-                    name = TYPE_NAMES[kind] if kind >= 0 else None
-                    rows.append((*feed, place, seqs[place], file, None, path, name, n, float(s[LOGSUM]), s[INTEGERS], sketches.get(path)))
-
-        def end_feed() -> None:
-            for rows in open_places.values():
-                out.extend(rows)
+                    rows.append((path, TYPE_NAMES[kind] if kind >= 0 else None, s[kind] if kind >= 0 else 0, float(s[LOGSUM]), s[INTEGERS], sketches.get(path)))
+                out.append((*file, place, [dict(zip(entry.names, r)) for r in rows]))
 
         def flushed() -> pa.RecordBatch:
-            columns = dict(zip(names, zip(*out)))
-            return pa.RecordBatch.from_pydict({k: pa.array(v, schema.field(k).type) for k, v in columns.items()}, schema=schema)
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
         for batch in batches:
-            for scope, report, _, name, packed in zip(*(batch.column(k).to_pylist() for k in range(5))):
-                if (scope, report) != feed or name != file:
+            for scope, report, day, name, packed in zip(*(batch.column(k).to_pylist() for k in range(5))):
+                if file is None or (scope, report, name) != (file[0], file[1], file[3]):
                     end_file()
-                    footer, sketches = Footer(), {}
-                if (scope, report) != feed:
-                    end_feed()
-                    feed, known, open_places, seqs = (scope, report), {}, {}, {}
-                file = name
+                    file, footer, sketches = (scope, report, day, name), Footer(), {}
                 footer.merge(*json.loads(packed), sketches)
-            if len(out) > 20_000:
+            if len(out) > 2_000:
                 yield flushed()
                 out.clear()
         end_file()
-        end_feed()
         if out:
             yield flushed()
 
-    return keyed.mapInArrow(run, OBSERVATION)
+    return keyed.mapInArrow(run, f"scope_slug string, report_type string, report_day string, source_file string, place string, fields {FIELDS}")
+
+
+def field_observations(lines: DataFrame) -> DataFrame:
+    """The exploded footers: one row per file and field it has.
+
+    ``seq`` numbers the files of a feed in which the field's place was judged and
+    ``next_file`` names the following one (null for the last). A field with only
+    nulls keeps the type it had before.
+    """
+    order = Window.partitionBy(*FEED, "place").orderBy("report_day", "source_file")
+    placed = file_places(lines).withColumn("seq", F.row_number().over(order)).withColumn("next_file", F.lead("source_file").over(order))
+    flat = placed.select(*FEED, "place", "seq", "source_file", "next_file", F.inline("fields"))
+    # the place is part of the key, so that the files of a feed's place stay where they are
+    so_far = Window.partitionBy(*FEED, "place", "field").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    return flat.withColumn("json_type", F.last("json_type", ignorenulls=True).over(so_far))
 
 
 def lifespans(observations: DataFrame) -> DataFrame:
@@ -270,7 +262,7 @@ def lifespans(observations: DataFrame) -> DataFrame:
     whether it ``continues`` an earlier island of another type without a gap, and
     whether another one follows it likewise.
     """
-    by_field = Window.partitionBy(*FEED, "field").orderBy("seq")
+    by_field = Window.partitionBy(*FEED, "place", "field").orderBy("seq")
     same = (F.lag("seq").over(by_field) == F.col("seq") - 1) & F.lag("json_type").over(by_field).eqNullSafe(F.col("json_type"))
     islands = observations.withColumn("_start", (~F.coalesce(same, F.lit(False))).cast("int")).withColumn(
         "_island", F.sum("_start").over(by_field.rowsBetween(Window.unboundedPreceding, 0))
@@ -279,22 +271,40 @@ def lifespans(observations: DataFrame) -> DataFrame:
     spans = islands.groupBy(*FEED, "place", "field", "_island").agg(
         F.min_by(whole, "seq").alias("first"), F.max_by(whole, "seq").alias("last")
     )
-    order = Window.partitionBy(*FEED, "field").orderBy("_island")
+    order = Window.partitionBy(*FEED, "place", "field").orderBy("_island")
     continues = F.coalesce(F.lag("last.seq").over(order) == F.col("first.seq") - 1, F.lit(False))
     followed = F.coalesce(F.lead("first.seq").over(order) == F.col("last.seq") + 1, F.lit(False))
     earlier = F.lag("last.json_type").over(order)
     return spans.withColumn("continues", continues).withColumn("followed", followed).withColumn("earlier_type", earlier)
 
 
-# fixed values: spellings of the same word in field names
-SAME_WORDS = {"org": "organization", "lines": "loc", "consumed": "used", "tokens": "token", "handle": "login", "cnt": "count", "num": "count"}
-
-
 def name_words(path: str) -> frozenset[str]:
-    """The words of a field's own name, camel case and underscores taken apart."""
+    """The words of a field's own name, camel case and underscores taken apart, without the s of a plural."""
     name = path.rpartition(".")[2]
-    words = re.findall(r"[A-Z]?[a-z0-9]+|[A-Z]+(?![a-z])", name)
-    return frozenset(SAME_WORDS.get(w.lower(), w.lower()) for w in words)
+    words = [w.lower() for w in re.findall(r"[A-Z]?[a-z0-9]+|[A-Z]+(?![a-z])", name)]
+    return frozenset(w[:-1] if len(w) > 3 and w.endswith("s") and not w.endswith("ss") else w for w in words)
+
+
+def same_word(a: str, b: str) -> bool:
+    """Whether two words are one, or one abbreviates the other: its letters, three at least, come in order in the other and begin it."""
+    short, long = sorted((a, b), key=len)
+    if short == long:
+        return True
+    rest = iter(long)
+    return len(short) >= 3 and short[0] == long[0] and all(c in rest for c in short)
+
+
+def shared_words(a: frozenset[str], b: frozenset[str]) -> int:
+    """How many words two names share."""
+    return min(sum(any(same_word(x, y) for y in b) for x in a), sum(any(same_word(x, y) for x in a) for y in b))
+
+
+def by_chance(old: dict, new: dict) -> float:
+    """How likely a field of fractions gives the other's whole numbers by chance: all of them whole where one of ``n`` was not."""
+    whole, other = (old, new) if old["integers"] == old["n"] else (new, old)
+    if (whole["integers"] == whole["n"]) == (other["integers"] == other["n"]):
+        return 1.0
+    return ((other["integers"] + 1) / (other["n"] + 2)) ** whole["n"]
 
 
 def same_information(old: dict, new: dict) -> float:
@@ -307,13 +317,11 @@ def same_information(old: dict, new: dict) -> float:
     if old["json_type"] != new["json_type"] or not old["n"] or not new["n"]:
         return 0.0
     a, b = name_words(old["field"]), name_words(new["field"])
-    shared = len(a & b)
-    names = max(shared / len(a | b), 0.9 * (shared == min(len(a), len(b)) and shared > 0)) if a and b else 0.0
+    shared = shared_words(a, b)
+    names = max(shared / (len(a) + len(b) - shared), 0.9 * (shared == min(len(a), len(b)) and shared > 0)) if a and b else 0.0
     if old["json_type"] == "number":
         gap = abs(old["log_sum"] / old["n"] - new["log_sum"] / new["n"])
-        whole = (old["integers"] == old["n"]) == (new["integers"] == new["n"])
-        # a few small amounts may all be whole by chance
-        if gap > 1.0 or not whole and min(old["n"], new["n"]) > 3:
+        if gap > 1.0 or by_chance(old, new) < CHANCE:
             return 0.0
         return names + 0.2 * (1 - gap) if names >= 0.5 else 0.0
     if old["json_type"] == "boolean":
