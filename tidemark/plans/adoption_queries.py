@@ -251,19 +251,6 @@ def audit_completed(spark, d):
     return store.is_completed(audit, scope, "2031-03-10", "2031-03-10")
 
 
-def stream_daily_events(spark, d):
-    """Events as a stream: rows and value per day, through a memory sink."""
-    import uuid
-
-    schema = table(spark, d, "events").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
-    counts = stream.groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("events"), F.count("user_id").alias("with_user"))
-    name = f"stream_{uuid.uuid4().hex}"
-    query = counts.writeStream.format("memory").outputMode("complete").queryName(name).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return out(spark.table(name))
-
-
 def _measured(kind, base):
     def run(spark, d):
         names = [n for n, (t, _) in M.measures().items() if t == kind]
@@ -283,7 +270,7 @@ QUERIES = {
         user_adoption_daily, user_adoption_current, rolling_entity, rolling_team, rolling_primary_team, data_freshness_daily,
         latest_wins_dedup, correction_counts, duplicate_issues, latest_manifest, snapshot_filter, manifest_filter, content_duplicates, upsert_merge,
         bounded_replacement, containment_violations, window_coalesce, unknown_fields, calendar_dimension, report_calendar,
-        audit_completed, stream_daily_events,
+        audit_completed,
     ]
 } | {
     "measures_entity": _measured(M.ENTITY, lambda s, d: adoption.entity_adoption(user_daily(s, d))),
@@ -489,7 +476,6 @@ ORACLE_SQL = {
       WHERE (s.scope_slug, strftime(d.day, '%Y-%m-%d'), t.report_type) NOT IN (SELECT scope_slug, report_day, report_type FROM {MANIFESTS})""",
     "audit_completed": f"""SELECT count(*) > 0 AS completed FROM {MANIFESTS} WHERE report_type = 'users' AND status = 'success' AND report_day = '2031-03-10'
       AND scope_slug = (SELECT min(scope_slug) FROM {MANIFESTS} WHERE report_type = 'users')""",
-    "stream_daily_events": "SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS events, count(user_id) AS with_user FROM events GROUP BY 1",
     "measures_entity": _measure_sql(
         _ENTITY,
         {

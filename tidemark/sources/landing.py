@@ -42,9 +42,9 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines.withColumn("source_path", F.col("_metadata.file_path")).withColumnRenamed("value", "raw_json").where("trim(raw_json) <> ''")
 
 
-def read_manifests(spark: SparkSession, root: str, scope: str | None = None, start: str | None = None, end: str | None = None) -> DataFrame:
-    """Manifests below ``root``, optionally of one scope and a range of days."""
-    found = spark.read.schema(MANIFEST_SCHEMA).option("recursiveFileLookup", "true").option("multiLine", "true").json(f"{root}/_manifests")
+def read_manifests(spark: SparkSession, root: str, scope: str | None = None, start: str | None = None, end: str | None = None, lines: bool = False) -> DataFrame:
+    """Manifests below ``root``, optionally of one scope and a range of days; with ``lines`` files may hold one a line."""
+    found = spark.read.schema(MANIFEST_SCHEMA).option("recursiveFileLookup", "true").option("multiLine", str(not lines).lower()).json(f"{root}/_manifests")
     flat = found.select(
         F.col("scope.kind").alias("scope_kind"), F.col("scope.slug").alias("scope_slug"), "report_type", "report_day", "ingestion_id",
         "ingested_at", "status", "content_fingerprint", "files",

@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import lookup
+
 
 def upserted(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """``source`` rows, and ``target`` rows whose key the source lacks."""
@@ -69,6 +71,22 @@ def snapshot_predicate(snapshots: list[tuple[str, str, str, str]]) -> Column:
     return out
 
 
+def window_days(windows: DataFrame) -> DataFrame:
+    """The days of replacement windows (scope_kind, scope_slug, start_day, end_day), each once, to join rows with."""
+    days = F.explode(F.sequence(F.col("start_day").cast("date"), F.col("end_day").cast("date")))
+    return windows.where("start_day <= end_day").select("scope_kind", "scope_slug", days.alias("day")).distinct()
+
+
+def replaced_where(target: DataFrame, source: DataFrame, keys: list[str], marks: DataFrame) -> DataFrame:
+    """``replaced`` for what ``marks`` names: target rows that equal a row of ``marks`` in all its columns go unless the source has them.
+
+    ``marks`` are snapshots or window days as a table, of any number, where a
+    predicate would be a chain of conditions. Null values match nothing.
+    """
+    inside = target.join(lookup(marks.distinct()), marks.columns, "left_anti")
+    return replaced(inside, source, keys, F.lit(False))
+
+
 class Conflict(RuntimeError):
     """Another writer changed the table meanwhile; nothing was changed by this one."""
 

@@ -49,6 +49,11 @@ def active_users_stream(events: DataFrame, time: str, user: str, lag: str = "2 d
     )
 
 
+def to_files(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """A query that appends windows to parquet files once the watermark has passed them, each exactly once."""
+    return counts.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path)
+
+
 def stream_parquet(spark: SparkSession, path: str, schema) -> DataFrame:
     """Parquet files of a folder as a stream, one file per micro-batch."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
