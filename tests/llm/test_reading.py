@@ -25,7 +25,7 @@ def test_prose_leaves_out_everything_else():
 
 def test_independent_clauses_count_like_sentences():
     got = reading.clauses("We saw it, and the page was red; it went on because the team asked. Use e.g. one box, or so.")
-    assert [" ".join(c) for c in got] == ["we saw it", "the page was red", "it went on", "the team asked", "use eg one box", "so"]
+    assert [" ".join(c) for c in got] == ["we saw it", "the page was red", "it went on", "the team asked", "use e.g one box", "so"]
 
 
 def test_formulas_by_hand():

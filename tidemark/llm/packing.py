@@ -12,8 +12,8 @@ length is multiplied by the exponential of its loss, the mean share of room left
 over in the containers it travelled in, so that lengths that are hard to place
 come earlier and in better company. The weights also give a dual bound, as do
 the volume and the items longer than half a container. Laps end when the best is
-within ``GAP`` of the bound, or after ``LAPS``; the rule is the same for every
-capacity.
+within ``GAP`` of the bound, when a lap betters the best by less than that, or
+after ``LAPS``; the rule is the same for every capacity.
 
 The mean of the laps is the fractional solution. Amounts within a lap are whole
 numbers, so rounding takes the lap with the fewest containers, which is at most
@@ -40,8 +40,8 @@ from pyspark.sql import functions as F
 
 from tidemark.session import buckets_for
 
-#: Most laps, and the relative gap between containers and bound that ends them earlier.
-LAPS, GAP = 4, 1e-4
+#: Most laps, and what ends them earlier: a gap to the bound, or a gain over the laps before, of less than this share.
+LAPS, GAP = 6, 1e-4
 #: How sharply a weight falls as demand is met, how much more a token of a long item is worth at first, the share
 #: of the scarcest demand used at once, and how strongly a lap's losses change the weights of the next.
 SHARPNESS, LONGER, STEP, LEARNING = 0.05, 1.0, 0.5, 1.0
@@ -140,11 +140,12 @@ def plan(histogram: dict[int, int], capacity: int, laps: int = LAPS) -> Plan:
     best, counts = None, []
     for _ in range(laps):
         found = _lap(sizes, demand, weights, capacity)
-        counts.append(sum(n for _, n in found))
-        if best is None or counts[-1] < sum(n for _, n in best):
+        count, before = sum(n for _, n in found), min(counts, default=None)
+        counts.append(count)
+        if before is None or count < before:
             best = found
         bound = max(bound, dual_bound(sizes, demand, sizes * weights, capacity))
-        if min(counts) <= np.ceil(bound - 1e-6) * (1 + GAP):
+        if min(counts) <= np.ceil(bound - 1e-6) * (1 + GAP) or before is not None and before - count < GAP * before:
             break
         loss = np.zeros(len(sizes))
         for config, n in found:
@@ -228,7 +229,8 @@ def planned(cut: DataFrame, laps: int = LAPS) -> DataFrame:
             names=[c.split()[0] for c in PLACES.split(", ")],
         )
 
-    return bins.groupBy("container_kind").applyInArrow(run, PLACES)
+    # a number of partitions of its own keeps the kinds in tasks of their own, small as their histograms are
+    return bins.repartition(32, "container_kind").groupBy("container_kind").applyInArrow(run, PLACES)
 
 
 def fill_containers(items: DataFrame, capacities: DataFrame, laps: int = LAPS) -> DataFrame:

@@ -41,13 +41,14 @@ LINK = re.compile(r"https?://\S+")
 LOG = re.compile(r"\d{4}-\d\d-\d\d[T ]\d\d:")
 BULLET = re.compile(r"(?:[-*•]|\d{1,3}[.)])\s+")
 CLOSED = re.compile(r"[.!?][\"”’')\]]*$")
+#: Abbreviations whose full stops end no sentence.
+SHORT = ("e.g", "i.e", "a.m", "p.m", "approx", "etc", "vs", "cf", "no", "fig", "dr", "mr", "mrs", "ms", "st")
 #: Ends of sentences and of independent clauses.
 CLAUSE = re.compile(
-    r"[.!?]+[\"”’')\]]*(?:\s|$)|(?<=[a-z])[.!?]+(?=[A-Z])|[;:]\s|,\s+(?:and|but|or|so|yet|nor)\s"
+    "".join(rf"(?<!\b(?i:{re.escape(x)}))" for x in SHORT)
+    + r"[.!?]+[\"”’')\]]*(?:\s|$)|(?<=[a-z])[.!?]+(?=[A-Z])|[;:]\s|,\s+(?:and|but|or|so|yet|nor)\s"
     r"|\s(?:and|so|because|although|while|since|if|when|whenever|unless|whereas)\s(?=(?:the|an?|it|they|we|you)\s)"
 )
-#: Abbreviations whose full stops end no sentence.
-SHORT = re.compile(r"\b(?:e\.g|i\.e|approx|p\.m|a\.m|etc|vs|cf|no|fig|dr|mr|mrs|ms|st)\.(?=\s)", re.I)
 VOWELS = re.compile(r"[aeiouy]+")
 _QUOTES = "'’"
 EDGES = ".,;:!?()[]{}\"“”'’‘*_`~<>"
@@ -140,7 +141,7 @@ def clauses(text: str) -> list[list[str]]:
     """The clauses of the prose as lists of lower-case words; names with a hyphen and identifiers are left out."""
     out = []
     for line in prose_lines(text):
-        for part in CLAUSE.split(SHORT.sub(lambda m: m.group(0).replace(".", ""), line)):
+        for part in CLAUSE.split(line):
             words = []
             for word in part.split():
                 word = word.strip(EDGES)
@@ -171,15 +172,14 @@ def is_english(text: str, parts: list[list[str]]) -> bool:
     return total > 0 and seen["en"] > others and seen["en"] * 40 >= total and cjk < 2 * total
 
 
-_shape: dict[str, tuple[int, int]] = {}
+_shapes: dict[str, int] = {}
 
 
-def _shape_of(word: str) -> tuple[int, int]:
-    found = _shape.get(word)
-    if found is None:
-        if len(_shape) > 200_000:
-            _shape.clear()
-        found = _shape[word] = (syllables(word), len(word))
+def _shape_of(word: str) -> int:
+    """Syllables and letters of a word as one number (65,536 times the first and the second), kept for the next time."""
+    if len(_shapes) > 200_000:
+        _shapes.clear()
+    found = _shapes[word] = (syllables(word) << 16) + min(len(word), 65_535)
     return found
 
 
@@ -190,9 +190,11 @@ def formulas(parts: list[list[str]]) -> tuple[float, ...]:
     """The mean over the middle half of the clauses by each formula, each rising with difficulty; ``parts`` must hold a word."""
     graded = [p for p in parts if len(p) >= LEAST_WORDS] or parts
     n = np.array([len(p) for p in graded], float)
-    shapes = np.array([_shape_of(word) for words in graded for word in words], float)
+    known = _shapes.get
+    shapes = np.array([known(word) or _shape_of(word) for words in graded for word in words], np.int64)
     first = (np.cumsum(n) - n).astype(np.int64)
-    syllable, letter, hard = (np.add.reduceat(x, first) / n for x in (shapes[:, 0], shapes[:, 1], shapes[:, 0] >= 3))
+    counts = shapes >> 16
+    syllable, letter, hard = (np.add.reduceat(x, first) / n for x in (counts, shapes & 65_535, (counts >= 3).astype(np.int64)))
     values = (
         84.6 * syllable + 1.015 * n - 206.835,  # reading ease with its sign turned
         0.39 * n + 11.8 * syllable - 15.59,
