@@ -45,9 +45,10 @@ CLOSED = re.compile(r"[.!?][\"”’')\]]*$")
 SHORT = ("e.g", "i.e", "a.m", "p.m", "approx", "etc", "vs", "cf", "no", "fig", "dr", "mr", "mrs", "ms", "st")
 #: Ends of sentences and of independent clauses.
 CLAUSE = re.compile(
-    "".join(rf"(?<!\b(?i:{re.escape(x)}))" for x in SHORT)
-    + r"[.!?]+[\"”’')\]]*(?:\s|$)|(?<=[a-z])[.!?]+(?=[A-Z])|[;:]\s|,\s+(?:and|but|or|so|yet|nor)\s"
-    r"|\s(?:and|so|because|although|while|since|if|when|whenever|unless|whereas)\s(?=(?:the|an?|it|they|we|you)\s)"
+    r"[.!?]+"
+    + "".join(rf"(?<!\b(?i:{re.escape(x)})\.)" for x in SHORT)
+    + r"[\"”’')\]]*(?:\s|$)|[;:]\s|,\s+(?:and|but|or|so|yet|nor)\s"
+    r"|\s(?:and|so|because|although|while|since|if|when|whenever|unless|whereas)\s(?=(?:the|an?|it|they|we|you)\s)|(?<=[a-z])[.!?]+(?=[A-Z])"
 )
 VOWELS = re.compile(r"[aeiouy]+")
 _QUOTES = "'’"
