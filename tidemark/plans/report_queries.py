@@ -300,8 +300,35 @@ def _typed_sql(name: str, key: str, array: str, members: list[str]) -> str:
     WHERE e IS NOT NULL"""
 
 
+def _struct_sql(name: str, key: str, struct: str, members: str) -> str:
+    return f"SELECT source_ingestion_id, source_line, {key}, {', '.join(f'{struct}.{m} AS {m}' for m in members.split())} FROM {name} WHERE {struct} IS NOT NULL"
+
+
+#: Every object of a line with its path; a lone object or a JSON text stands for an array in the fields named here.
+_LONE = "json_keys(n.x)[i] IN ('totals_by_feature', 'totals_by_ide', 'totals_by_language_feature', 'totals_by_mcp', 'totals_by_slash_cmd', 'day_totals', 'pull_request_review_times')"
+_MEMBER = """'$."' || json_keys(n.x)[i] || '"'"""
+_P4 = f"""WITH RECURSIVE nodes AS (
+    SELECT record_id, '' AS path, CASE WHEN json_valid(raw_json) THEN raw_json::JSON END AS x, false AS is_entry FROM {LINES}
+      WHERE json_valid(raw_json) AND CASE WHEN json_valid(raw_json) THEN json_type(raw_json) END = 'OBJECT'
+    UNION ALL
+    SELECT record_id, c.path, c.x, c.is_entry FROM (
+      SELECT n.record_id, unnest(CASE WHEN json_type(n.x) = 'ARRAY' THEN
+          [{{'path': n.path || '[' || i || ']', 'x': json_extract(n.x, '$[' || i || ']'), 'is_entry': true}} FOR i IN range(0, json_array_length(n.x)::BIGINT)]
+        ELSE flatten([CASE WHEN json_type(v.v) = 'OBJECT' THEN [{{'path': v.p || CASE WHEN v.lone THEN '[0]' ELSE '' END, 'x': v.v, 'is_entry': v.lone}}]
+            WHEN json_type(v.v) = 'ARRAY' THEN [{{'path': v.p || '[' || i || ']', 'x': json_extract(v.v, '$[' || i || ']'), 'is_entry': true}} FOR i IN range(0, json_array_length(v.v)::BIGINT)]
+            WHEN v.lone AND v.t <> '' AND json_valid(v.t) AND CASE WHEN json_valid(v.t) THEN json_type(v.t) END = 'ARRAY' THEN
+              [{{'path': v.p || '[' || i || ']', 'x': json_extract(v.t::JSON, '$[' || i || ']'), 'is_entry': true}} FOR i IN range(0, json_array_length(v.t)::BIGINT)]
+            ELSE [] END FOR v IN [{{'lone': {_LONE}, 'p': CASE WHEN n.path = '' THEN '' ELSE n.path || '.' END || json_keys(n.x)[i], 'v': json_extract(n.x, {_MEMBER}),
+                't': CASE WHEN json_type(n.x, {_MEMBER}) = 'VARCHAR' AND left(ltrim(json_extract_string(n.x, {_MEMBER})), 1) = '[' THEN json_extract_string(n.x, {_MEMBER}) ELSE '' END}}
+              FOR i IN range(1, len(json_keys(n.x))::BIGINT + 1)]]) END) AS c
+      FROM nodes n WHERE json_type(n.x) IN ('OBJECT', 'ARRAY')))
+  SELECT record_id, path AS child_path FROM nodes WHERE is_entry AND json_type(x) = 'OBJECT'"""
+
 ORACLE_SQL = {
     "p1_profile": _P1,
+    "p4_found": _P4,
+    "p4_typed_phases": _struct_sql(USERS, "user_id", "ai_adoption_phase", "name phase_number version"),
+    # p4_typed_pull_requests passes medians that are NaN on as delivered, which text comparison of results cannot match
     "p2_distinct": _P2,
     "p3_found": _P3,
     "p4_typed_features": _typed_sql(USERS, "user_id", "totals_by_feature", ["feature", "code_generation_activity_count", "code_acceptance_activity_count"]),
