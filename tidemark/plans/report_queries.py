@@ -286,7 +286,7 @@ _OBSERVED = f"""
 _P7 = f"""
 WITH w AS (SELECT user_id, CAST(day AS DATE) AS d, sum(coalesce(code_generation_activity_count, 0)) AS x FROM ({_won(USERS, "user_id")}) GROUP BY ALL),
  c AS (SELECT unnest(generate_series(min(CAST(day AS DATE)), max(CAST(day AS DATE)), INTERVAL 1 DAY))::DATE AS d FROM {USERS}),
- g AS (SELECT u.user_id, c.d, coalesce(w.x, 0) AS x FROM (SELECT DISTINCT user_id FROM w) u CROSS JOIN c LEFT JOIN w ON w.user_id = u.user_id AND w.d = c.d),
+ g AS (SELECT u.user_id, c.d, coalesce(w.x, 0) AS x FROM (SELECT DISTINCT user_id FROM {USERS} WHERE user_id IS NOT NULL AND try_cast(day AS DATE) IS NOT NULL) u CROSS JOIN c LEFT JOIN w ON w.user_id = u.user_id AND w.d = c.d),
  r AS (SELECT user_id, strftime(d, '%Y-%m-%d') AS day,
    CAST(sum(x) OVER (PARTITION BY user_id ORDER BY d ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS BIGINT) AS total_7,
    CAST(sum(x) OVER (PARTITION BY user_id ORDER BY d ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS BIGINT) AS total_30 FROM g)
