@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark import contracts, measures, store, windows
 from tidemark.operators import adoption
+from tidemark.plans import store_queries
 from tidemark.sources import landing
 from tidemark.streaming import reports
 
@@ -230,6 +231,27 @@ def test_stream_of_deliveries_ends_in_the_newest_and_can_be_repeated(spark, tmp_
         assert [(r.k, r.x) for r in table.read().collect()] == [(1, "new")]
 
 
+@pytest.mark.parametrize("kind", ["file", "folder", "no rows"])
+def test_users_are_streamed_from_a_file_or_a_folder(kind, spark, tmp_path):
+    schema = "scope_slug string, day string, user_id bigint, source_ingestion_id string, source_ingested_at timestamp, source_line bigint"
+    old = [("s", "d", u, "a", datetime(2031, 3, 1), 1) for u in (1, 2)]
+    new = [("s", "d", 1, "b", datetime(2031, 3, 2), n) for n in (1, 2)] + [(None, "d", 3, "b", datetime(2031, 3, 2), 3)]
+    rows = spark.createDataFrame([] if kind == "no rows" else old + new, schema)
+    path, named = tmp_path / "parts", tmp_path / "data"
+    named.mkdir()
+    rows.repartition(3).write.parquet(str(path)) if kind == "folder" else rows.coalesce(1).write.parquet(str(path))
+    (path if kind == "folder" else next(path.glob("*.parquet"))).rename(named / "copilot_users_1_day.parquet")
+    got = store_queries.stream_snapshots(spark, str(named)).collect()
+    assert [tuple(r) for r in got] == ([] if kind == "no rows" else [("s", "d", 1, "b", 2)])
+
+
+def test_gathered_partitions_have_a_file_each(spark, tmp_path):
+    rows = spark.range(4000).selectExpr("id AS k", "id % 5 AS p").repartition(8)
+    t = store.Table(spark, str(tmp_path / "t"), ("p",), gathered=True)
+    t.write(rows)
+    assert len(list((tmp_path / "t").rglob("*.parquet"))) == 5 and t.read().count() == 4000
+
+
 def test_stream_of_users_per_window(spark, tmp_path):
     source = str(tmp_path / "events")
     spark.createDataFrame([(datetime(2031, 3, 1, h), h % 3) for h in range(10)], "t timestamp, u bigint").coalesce(1).write.parquet(source)

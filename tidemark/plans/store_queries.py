@@ -19,7 +19,7 @@ from tidemark.plans import line_oracles
 from tidemark.plans.adoption_queries import MANIFESTS, _orders, _order_changes, out, user_daily
 from tidemark.plans.line_queries import dated, normalizer
 from tidemark.plans.report_queries import LINES, TEAMS, USERS, _won
-from tidemark.session import ensure_checkpoint_dir, materialized, spread, table
+from tidemark.session import ensure_checkpoint_dir, materialized, spread, table, table_stream
 from tidemark.sources import landing
 from tidemark.store import AUDIT, Table, audit_row, is_completed, replaced_where, window_days, window_predicate
 from tidemark.streaming import reports
@@ -148,8 +148,8 @@ def stream_snapshots(spark, d):
     """The users report as a stream, applied to the store delivery by delivery."""
     columns = ["scope_slug", "day", "user_id", "source_ingestion_id", "source_ingested_at", "source_line"]
     root = _folder(spark)
-    stream = spark.readStream.schema(table(spark, d, USERS).schema).option("pathGlobFilter", f"{USERS}.parquet").parquet(d).select(*columns).where("day IS NOT NULL AND scope_slug IS NOT NULL")
-    store = Table(spark, f"{root}/table", ("scope_slug", "day"))
+    stream = table_stream(spark, d, USERS).select(*columns).where("day IS NOT NULL AND scope_slug IS NOT NULL")
+    store = Table(spark, f"{root}/table", ("scope_slug", "day"), gathered=True)
     reports.snapshot_stream(stream, store, ["user_id"], f"{root}/checkpoint").awaitTermination()
     return store.read().select("scope_slug", "day", "user_id", "source_ingestion_id", "source_line")
 

@@ -33,6 +33,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table ``name`` of a data directory as a stream, be it a file or a folder of files.
+
+    A source named by a plain path has to be a folder; one named by a pattern may be either.
+    """
+    return spark.readStream.schema(table(spark, sf_dir, name).schema).parquet(f"{sf_dir}/[{name[0]}]{name[1:]}.parquet")
+
+
 def spread(df: DataFrame) -> DataFrame:
     """``df`` over all cores if it comes in fewer pieces than there are, as a table of one small file does.
 

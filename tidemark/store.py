@@ -96,11 +96,13 @@ class Table:
 
     ``partition_by`` names the columns whose values make a partition, the unit
     that a change rewrites. Partition folders are listed on the driver, as many
-    as the table has partitions; rows never come there.
+    as the table has partitions; rows never come there. ``gathered`` brings the
+    rows of a partition together before they are written: without it each task
+    adds a file to each partition it has rows of. Large partitions are split.
     """
 
-    def __init__(self, spark: SparkSession, path: str, partition_by: tuple[str, ...] = ()):
-        self.spark, self.path, self.partition_by = spark, path.rstrip("/"), tuple(partition_by)
+    def __init__(self, spark: SparkSession, path: str, partition_by: tuple[str, ...] = (), gathered: bool = False):
+        self.spark, self.path, self.partition_by, self.gathered = spark, path.rstrip("/"), tuple(partition_by), gathered
         jvm = spark._jvm
         self._path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
@@ -155,6 +157,8 @@ class Table:
         """Writes ``df`` as one change; its name and the partitions it has rows of."""
         change = uuid.uuid4().hex
         root = f"{self.path}/data/change={change}"
+        if self.gathered and self.partition_by:
+            df = df.hint("rebalance", *self.partition_by)
         writer = df.write.mode("errorifexists")
         (writer.partitionBy(*self.partition_by) if self.partition_by else writer).parquet(root)
         if not self.partition_by:

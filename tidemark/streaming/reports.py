@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.latest import latest_deliveries, winning_rows
+from tidemark.operators.latest import snapshot_rows, winning_rows
 from tidemark.store import Table
 
 
@@ -17,15 +17,13 @@ def apply_deliveries(batch: DataFrame, store: Table, keys: list[str]) -> None:
     the batch are read and rewritten. Running the same batch again changes
     nothing, so a restarted query ends in the same table (exactly once by content).
     """
-    if batch.isEmpty():
-        return
     if not store.exists():
         store.write(batch.limit(0))
     touched = store.partitions_of(batch)
+    if not touched:
+        return
     both = batch.unionByName(store.read_partitions(touched).select(*batch.columns))
-    newest = latest_deliveries(both).drop("snapshot_seq")
-    rows = both.join(newest, ["scope_slug", "day", "source_ingestion_id"], "left_semi")
-    store.rewrite(touched, winning_rows(rows, ["scope_slug", "day", *keys]))
+    store.rewrite(touched, winning_rows(snapshot_rows(both), ["scope_slug", "day", *keys]))
 
 
 def snapshot_stream(stream: DataFrame, store: Table, keys: list[str], checkpoint: str) -> StreamingQuery:
