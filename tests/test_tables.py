@@ -175,6 +175,36 @@ def test_changes_rewrite_only_the_partitions_they_touch(spark, tmp_path):
         t.rewrite(["day=2031-03-01"], spark.createDataFrame([(1, day(7), "x")], ROW))
 
 
+def test_replacement_takes_its_windows_as_a_table(spark, tmp_path):
+    row = "scope_kind string, scope_slug string, day date, x string"
+    keys = ["scope_kind", "scope_slug", "day"]
+    t = store.Table(spark, str(tmp_path / "t"), ("day",), gathered=True)
+    t.write(spark.createDataFrame([("o", s, day(d), "old") for s in "ab" for d in (1, 2, 3)] + [(None, "a", day(2), "old")], row))
+    # a second window of the same days, and one that no row lies in
+    spans = [("o", "a", day(2), day(3)), ("o", "a", day(3), day(3)), ("o", "c", day(1), day(9))]
+    windows = spark.createDataFrame(spans, "scope_kind string, scope_slug string, start_day date, end_day date")
+    with pytest.raises(ValueError, match="outside of what"):
+        t.replace(spark.createDataFrame([("o", "b", day(2), "new")], row), keys, windows)
+    t.replace(spark.createDataFrame([("o", "a", day(2), "new"), ("o", "c", day(5), "new")], row), keys, windows)
+    got = sorted((str(r.scope_kind), r.scope_slug, r.day.day, r.x) for r in t.read().collect())
+    assert got == [("None", "a", 2, "old"), ("o", "a", 1, "old"), ("o", "a", 2, "new"), ("o", "b", 1, "old"), ("o", "b", 2, "old"), ("o", "b", 3, "old"), ("o", "c", 5, "new")]
+
+
+def test_a_run_over_many_scopes_writes_files_by_day_only(spark, tmp_path, monkeypatch):
+    lines = [("enterprise", f"s{s}", day(1 + s % 2), s) for s in range(300)]
+    stamp = F.date_format("day", "yyyy-MM-dd")
+    raw = F.format_string('{"day": "%s", "enterprise_id": "e", "user_id": %d, "used_chat": true}', stamp, "user_id")
+    known = ["scope_slug", F.lit("users").alias("report_type"), stamp.alias("report_day"), F.lit("f").alias("source_file"), F.col("user_id").alias("line_no"), F.lit(datetime(2031, 3, 1)).alias("source_ingested_at"), raw.alias("raw_json")]
+    spark.createDataFrame(lines, "scope_kind string, scope_slug string, day date, user_id bigint").select(F.col("user_id").alias("record_id"), *known).write.parquet(str(tmp_path / "silver_users_edge_cases.parquet"))
+    members = "scope_slug string, day string, organization_id string, user_id bigint, user_login string, team_id bigint, slug string, source_ingestion_id string, source_ingested_at timestamp, source_line bigint"
+    spark.createDataFrame([], members).write.parquet(str(tmp_path / "copilot_user_teams_1_day.parquet"))
+    monkeypatch.setattr(store_queries, "_folder", lambda _: str(tmp_path / "run"))
+    got = store_queries.pipeline_entity_gold(spark, str(tmp_path)).select("scope_slug", "day", "active_users", "source_correction_count").collect()
+    assert sorted(map(tuple, got)) == sorted((f"s{s}", f"2031-03-0{1 + s % 2}", 1, 0) for s in range(300))
+    # two days in the users table, in gold, and in gold once more as it is replaced
+    assert len(list((tmp_path / "run").rglob("*.parquet"))) == 6
+
+
 def test_owned_tables_and_conflicts(spark, tmp_path):
     t = store.Table(spark, str(tmp_path / "t"))
     rows = spark.createDataFrame([(1, day(1), "a")], ROW)

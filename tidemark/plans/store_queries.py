@@ -19,9 +19,9 @@ from tidemark.plans import line_oracles
 from tidemark.plans.adoption_queries import MANIFESTS, _orders, _order_changes, out, user_daily
 from tidemark.plans.line_queries import dated, normalizer
 from tidemark.plans.report_queries import LINES, TEAMS, USERS, _won
-from tidemark.session import ensure_checkpoint_dir, materialized, spread, table, table_stream
+from tidemark.session import ensure_checkpoint_dir, spread, table, table_stream, written
 from tidemark.sources import landing
-from tidemark.store import AUDIT, Table, audit_row, is_completed, replaced_where, window_days, window_predicate
+from tidemark.store import AUDIT, Table, audit_row, is_completed, replaced_where, window_days
 from tidemark.streaming import reports
 
 
@@ -171,18 +171,19 @@ def _windowed(window: str, slide: str | None):
 def pipeline_entity_gold(spark, d):
     """A whole run: lines to the cleaned users table in the store, from there adoption per scope and day, corrections, contract, bounded replacement."""
     root, built_at = _folder(spark), "2031-05-01T00:00:00Z"
-    rows = materialized(normalizer(spark, d).rows("user_daily"))
-    cleaned = Table(spark, f"{root}/user_daily", ("scope_slug", "day"))
+    rows = written(normalizer(spark, d).rows("user_daily"))
+    # there are as many pairs of scope and day as rows of gold, so only the days make partitions
+    cleaned = Table(spark, f"{root}/user_daily", ("day",), gathered=True)
     cleaned.upsert(silver.bound(rows, SILVER["user_daily"]), list(SILVER["user_daily"].key))
     users = cleaned.read()
     corrections = latest.correction_counts({"user_daily": (rows, list(SILVER["user_daily"].key))}, ["scope_kind", "scope_slug", "day"])
     contract = GOLD["entity_adoption_daily"]
-    gold = contract.bind(adoption.with_corrections(adoption.entity_adoption(users), corrections, built_at))
-    built = Table(spark, f"{root}/gold", ("scope_slug", "day"))
+    gold = written(contract.bind(adoption.with_corrections(adoption.entity_adoption(users), corrections, built_at)))
+    built = Table(spark, f"{root}/gold", ("day",), gathered=True)
     built.write(gold.where("day < '2031-03-20'"))
     first, last = date(2031, 3, 1), date(2031, 4, 30)
-    windows = [(r["scope_kind"], r["scope_slug"], str(first), str(last)) for r in gold.select("scope_kind", "scope_slug").distinct().collect()]
-    built.replace(adoption.trim_to(gold, first, last), list(contract.key), window_predicate(windows))
+    windows = gold.select("scope_kind", "scope_slug").distinct().select("*", F.lit(first).alias("start_day"), F.lit(last).alias("end_day"))
+    built.replace(adoption.trim_to(gold, first, last), list(contract.key), windows)
     return dated(built.read()).withColumn("ai_credits_used", F.round("ai_credits_used", 2))
 
 

@@ -87,6 +87,15 @@ def replaced_where(target: DataFrame, source: DataFrame, keys: list[str], marks:
     return replaced(inside, source, keys, F.lit(False))
 
 
+def in_windows(df: DataFrame, windows: DataFrame, how: str = "left_semi") -> DataFrame:
+    """Rows of ``df`` inside any of ``windows`` (scope_kind, scope_slug, start_day, end_day), or with ``left_anti`` those outside.
+
+    What ``window_predicate`` says of a few windows, for any number of them.
+    """
+    w = windows.select(F.col("scope_kind").alias("_kind"), F.col("scope_slug").alias("_slug"), *[F.col(c).cast("date").alias(f"_{c}") for c in ("start_day", "end_day")])
+    return df.join(w, (F.col("scope_kind") == F.col("_kind")) & (F.col("scope_slug") == F.col("_slug")) & F.col("day").between(F.col("_start_day"), F.col("_end_day")), how)
+
+
 class Conflict(RuntimeError):
     """Another writer changed the table meanwhile; nothing was changed by this one."""
 
@@ -219,28 +228,32 @@ class Table:
         if source.groupBy(*keys).count().where("count > 1").limit(1).count():
             raise ValueError("source keys must be unique")
 
-    def _merge(self, source: DataFrame, keys: list[str], predicate: Column) -> str:
+    def _merge(self, source: DataFrame, keys: list[str], inside: Column | DataFrame) -> str:
         source = source.select(*self.schema().names)
         touched = self.partitions_of(source)
         if not set(self.partition_by) <= set(keys):
             # a key may lie in any partition, so all of them have to be looked through
             touched = sorted({*touched, *self._manifest(self.version())["parts"]})
         elif self.partition_by:
-            doomed = self.read().where(F.coalesce(predicate, F.lit(False)))
+            doomed = in_windows(self.read(), inside) if isinstance(inside, DataFrame) else self.read().where(F.coalesce(inside, F.lit(False)))
             touched = sorted({*touched, *self.partitions_of(doomed)})
-        return self.rewrite(touched, replaced(self.read_partitions(touched), source, keys, predicate))
+        target = self.read_partitions(touched)
+        if isinstance(inside, DataFrame):
+            return self.rewrite(touched, upserted(in_windows(target, inside, "left_anti"), source, keys))
+        return self.rewrite(touched, replaced(target, source, keys, inside))
 
     def upsert(self, source: DataFrame, keys: list[str]) -> str:
         """Source rows go in, those of the same keys out. Only partitions of the source are rewritten if the keys name them."""
         self._checked(source, keys)
         return self._merge(source, keys, F.lit(False)) if self.exists() else self.write(source)
 
-    def replace(self, source: DataFrame, keys: list[str], predicate: Column) -> str:
-        """Bounded replacement; every source row must lie inside ``predicate``."""
+    def replace(self, source: DataFrame, keys: list[str], inside: Column | DataFrame) -> str:
+        """Bounded replacement; every source row must lie inside a predicate, or inside windows given as a table (see ``in_windows``)."""
         self._checked(source, keys)
-        if outside_predicate(source, predicate).limit(1).count():
+        outside = in_windows(source, inside, "left_anti") if isinstance(inside, DataFrame) else outside_predicate(source, inside)
+        if outside.limit(1).count():
             raise ValueError("source rows outside of what is to be replaced")
-        return self._merge(source, keys, predicate) if self.exists() else self.write(source)
+        return self._merge(source, keys, inside) if self.exists() else self.write(source)
 
     def append(self, rows: DataFrame) -> str:
         """Adds rows as further files; what is there is neither read nor rewritten."""
